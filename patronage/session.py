@@ -23,7 +23,7 @@ def build_session(app_name: str = "patronage", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
-def _prepare_checkpoint_dir(spark: SparkSession) -> None:
+def prepare_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder the cluster names; make one up only on a local master."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
@@ -39,5 +39,5 @@ def _prepare_checkpoint_dir(spark: SparkSession) -> None:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows survive the loss of the executors that made them."""
-    _prepare_checkpoint_dir(df.sparkSession)
+    prepare_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

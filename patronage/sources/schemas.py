@@ -1,11 +1,9 @@
-"""Declared schemas of the fifteen source tables, and the keys and rules they carry."""
+"""Declared schemas of the fifteen source tables (as DDL), and the keys and rules they carry."""
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
-
 # Column names and types of the source tables
-_DDL = {
+SCHEMAS: dict[str, str] = {
     "customers": (
         "customer_id string, email string, first_name string, last_name string, date_of_birth date, "
         "gender string, city string, state string, country string, postal_code string, "
@@ -82,8 +80,6 @@ _DDL = {
     ),
 }
 
-SCHEMAS: dict[str, StructType] = {name: StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
-
 # Primary and unique keys
 PRIMARY_KEYS = {
     "customers": ["customer_id"],
