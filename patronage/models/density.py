@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patronage.operators.ranking import global_row_number
-from patronage.session import cut_lineage
+from patronage.session import cut_lineage, small_side
 
 MAX_AXES = 3
 AXES = range(MAX_AXES)
@@ -257,7 +257,7 @@ def density_clusters(
     numbered = global_row_number(clusters, [F.asc("first_id")], "number").select(
         "root", (F.col("number") - 1).cast("int").alias("segment")
     )
-    labelled = member.join(numbered, "root").select("id", "segment")
+    labelled = member.join(small_side(numbered), "root").select("id", "segment")
     return placed.select("id").join(labelled, "id", "left").select(
         F.col("id").alias(key), F.coalesce("segment", F.lit(-1)).alias("segment")
     )

@@ -40,10 +40,11 @@ def propagate_deletes(child: DataFrame, parent: DataFrame, key: str, rule: str)
         kept = child.filter(F.col(key).isNotNull()).join(parent.select(key), key, "left_semi")
         return kept.unionByName(child.filter(F.col(key).isNull()))
     if rule == "set_null":
+        # rows that have no key already need no partner, so they are kept out of the join
         known = parent.select(F.col(key).alias("_parent")).distinct()
-        return child.join(known, F.col(key) == F.col("_parent"), "left").select(
-            *[F.col("_parent").alias(key) if c == key else F.col(c) for c in child.columns]
-        )
+        linked = child.filter(F.col(key).isNotNull()).join(known, F.col(key) == F.col("_parent"), "left")
+        checked = linked.select(*[F.col("_parent").alias(key) if c == key else F.col(c) for c in child.columns])
+        return checked.unionByName(child.filter(F.col(key).isNull()))
     raise ValueError(f"unknown rule {rule!r}")
 
 

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patronage.session import cut_lineage
+from patronage.session import cut_lineage, small_side
 
 
 def global_row_number(df: DataFrame, order_by: Sequence[Column], name: str) -> DataFrame:
@@ -38,8 +39,17 @@ def global_row_number(df: DataFrame, order_by: Sequence[Column], name: str) -> D
 
 
 def rank_within(df: DataFrame, partition: Sequence[str], order_by: Sequence[Column], name: str) -> DataFrame:
-    """``row_number()`` per group, for groups known to be small."""
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*partition).orderBy(*order_by)))
+    """``row_number()`` per group, whatever the size of the groups: the position in one
+    distributed sort by group and order, counted from the first position of the group."""
+    placed = global_row_number(df, [*[F.asc(c) for c in partition], *order_by], "_position")
+    keys = [f"_{c}" for c in partition]
+    first = placed.groupBy(*[F.col(c).alias(k) for c, k in zip(partition, keys)]).agg(F.min("_position").alias("_first"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(partition, keys)])
+    return (
+        placed.join(small_side(first), same)
+        .withColumn(name, F.col("_position") - F.col("_first") + 1)
+        .drop("_position", "_first", *keys)
+    )
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patronage.functions.expr import hash_fraction
+from patronage.session import small_side
 
 _BUCKETS = 1 << 16
 
@@ -61,7 +62,7 @@ def exact_split_flag(
         F.col("_bucket").alias("_edge"),
         (F.col("_wanted") - F.col("_before")).alias("_left"),
     )
-    joined = base.join(edge, F.col("_stratum").eqNullSafe(F.col("_s")), "left")
+    joined = base.join(small_side(edge), F.col("_stratum").eqNullSafe(F.col("_s")), "left")
     on_edge = F.coalesce(F.col("_bucket") == F.col("_edge"), F.lit(False))
     decided = joined.filter(~on_edge).withColumn(
         "in_first", F.coalesce(F.col("_bucket") < F.col("_edge"), F.lit(False))
@@ -83,8 +84,7 @@ def timeline_split(
     ``split_ts``. A row without a date is in neither part. The first date column that
     holds any value is used; with none, rows are split 70/30 by hash."""
     present = [c for c in date_columns if c in df.columns]
-    filled = df.agg(*[F.max(F.col(c).isNotNull()).alias(c) for c in present]).first() if present else None
-    used = next((c for c in present if filled[c]), None)
+    used = next((c for c in present if not df.filter(F.col(c).isNotNull()).isEmpty()), None)
     if used is None:
         return random_split(df, 0.7, seed, key)
     cutoff = F.date_sub(F.lit(as_of), 30 * months)

@@ -47,9 +47,13 @@ def load_rfm(rfm: DataFrame) -> DataFrame:
     return _project(rfm, RFM_COLUMNS)
 
 
+def project_demographics(demographics: DataFrame) -> DataFrame:
+    return _project(demographics, DEMOGRAPHIC_COLUMNS)
+
+
 def load_demographics(demographics_clean: DataFrame, customers_clean: DataFrame) -> DataFrame:
     """Demographics of clean customers; the parent key is unique, so a semi join."""
-    return _project(demographics_clean, DEMOGRAPHIC_COLUMNS).join(
+    return project_demographics(demographics_clean).join(
         customers_clean.select("customer_id"), "customer_id", "left_semi"
     )
 

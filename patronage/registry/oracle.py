@@ -1295,7 +1295,7 @@ ORACLES: dict[str, str] = {
     )
     + " from m",
     "d14_table_counts": " union all ".join(
-        f"select '{t}' as table_name, count(*) as row_count from {t}" for t in VIEWS if t != "click_base"
+        f"select '{t}' as table_name, count(*) as row_count from {t}" for t in VIEWS if t not in ("click_base", "item_lines")
     ),
     # data quality
     "dq1_key_violations": """select item_id, count(*) as row_count from transaction_items where item_id is not null

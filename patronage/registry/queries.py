@@ -37,7 +37,7 @@ DENSITY_FEATURES = ["recency_days", "frequency", "monetary_value"]
 
 def query(name: str):
     def register(build: Callable[[Warehouse], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: publish(build(Warehouse(spark, sf_dir)))
+        QUERIES[name] = lambda spark, sf_dir: publish(build(Warehouse.of(spark, sf_dir)))
         return build
 
     return register

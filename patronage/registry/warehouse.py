@@ -33,9 +33,21 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._views: dict[str, DataFrame] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, sf_dir: str) -> Warehouse:
+        """The session's warehouse for a folder. It holds logical plans, so sharing it saves
+        analysis, not computation."""
+        key = (spark.sparkContext.applicationId, sf_dir, "warehouse")
+        if key not in _memo:
+            _memo[key] = cls(spark, sf_dir)
+        return _memo[key]
 
     def view(self, name: str) -> DataFrame:
-        return sample_view(self.spark, self.sf_dir, name)
+        if name not in self._views:
+            self._views[name] = sample_view(self.spark, self.sf_dir, name, self.view)
+        return self._views[name]
 
     def once(self, name: str, build: Callable[[], object]) -> object:
         """Build once per application and sample; used for stored tables and models."""
@@ -87,13 +99,26 @@ class Warehouse:
         return cleanup.successful_orders(self.transactions)
 
     # ---- analyses
+    # Each analysis starts from a clean parent table and joins sums of its child rows to it,
+    # which drops children of rejected parents by itself. So child rows need only their own
+    # rules here: no semi join before the sums, and a parent with a large share of the rows
+    # is combined on the map side instead of meeting in one join task.
+    @cached_property
+    def valid_transactions(self) -> DataFrame:
+        return cleanup.passing(self.view("transactions"), cleanup.transaction_rules(AS_OF))
+
+    @cached_property
+    def valid_items(self) -> DataFrame:
+        return cleanup.passing(self.view("item_lines"), cleanup.item_rules())
+
     @cached_property
     def rfm(self) -> DataFrame:
-        return rfm.customer_rfm(self.customers, self.transactions, self.items, AS_OF)
+        return rfm.customer_rfm(self.customers, self.valid_transactions, self.valid_items, AS_OF)
 
     @cached_property
     def campaign_data(self) -> DataFrame:
-        return campaign.campaign_segments(campaign.campaign_metrics(self.campaigns, self.performance))
+        valid = cleanup.passing(self.view("campaign_performance"), cleanup.performance_rules())
+        return campaign.campaign_segments(campaign.campaign_metrics(self.campaigns, valid))
 
     @cached_property
     def journey(self) -> DataFrame:
@@ -108,13 +133,14 @@ class Warehouse:
 
     @cached_property
     def ab(self) -> DataFrame:
-        return abtest.ab_results(self.ab_tests, self.ab_test_results)
+        valid = cleanup.passing(self.view("ab_test_results"), cleanup.ab_result_rules())
+        return abtest.ab_results(self.ab_tests, valid)
 
     @cached_property
     def joined(self) -> DataFrame:
         return unify.join_customer_tables(
             unify.load_rfm(self.rfm),
-            unify.load_demographics(self.demographics, self.customers),
+            unify.project_demographics(cleanup.passing(self.view("customer_demographics"), cleanup.demographics_rules())),
             self.journey,
             self.campaign_data,
             self.ab,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app_name: str = "patronage", master: str | None = None, **conf: str) -> SparkSession:
@@ -15,6 +16,8 @@ def build_session(app_name: str = "patronage", master: str | None = None, **conf
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # split a hot key's join partition even where that costs another shuffle
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     )
     if master:
         builder = builder.master(master)
@@ -41,3 +44,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows survive the loss of the executors that made them."""
     prepare_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def small_side(df: DataFrame, limit: int = 100_000) -> DataFrame:
+    """A join side stored once and counted: marked for broadcast up to ``limit`` rows, and
+    left to the planner's shuffle joins beyond."""
+    stored = cut_lineage(df)
+    return F.broadcast(stored) if stored.limit(limit + 1).count() <= limit else stored
