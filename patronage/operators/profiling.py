@@ -79,7 +79,7 @@ def describe_exact(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def summary_stats(df: DataFrame, column: str) -> DataFrame:
     """One row: count, mean, median, std, min, max, sum."""
     median = exact_quantiles(df, [column], [0.5])[column][0]
-    return df.agg(*_moments(column), F.sum(_double(column)).alias("sum")).withColumn(
+    return df.agg(*_moments(column), F.sum(column).cast("double").alias("sum")).withColumn(
         "median", F.lit(median).cast("double")
     )
 

@@ -9,7 +9,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronage.functions import constants as k
-from patronage.functions.expr import at_least, at_most, days_between, ladder, mean, months_between_whole, ratio, ratio0
+from patronage.functions.expr import (
+    at_least,
+    at_most,
+    days_between,
+    ladder,
+    mean,
+    months_between_whole,
+    ratio,
+    ratio0,
+)
 from patronage.operators.cleanup import successful_orders
 
 
@@ -117,15 +126,16 @@ def customer_rfm(customers: DataFrame, orders: DataFrame, items: DataFrame, as_o
 
 
 def rfm_summary(rfm: DataFrame) -> DataFrame:
-    """Averages per segment, value tier and engagement level, best value first."""
+    """Averages per segment, value tier and engagement level, best value first. Money is
+    averaged and rounded as decimals, so half cents round the same way everywhere."""
     return (
         rfm.groupBy("rfm_segment", "customer_value_tier", "engagement_level")
         .agg(
             F.count(F.lit(1)).alias("customer_count"),
-            F.round(mean("monetary_value"), 2).alias("avg_monetary_value"),
+            F.round(F.avg("monetary_value"), 2).alias("avg_monetary_value"),
             F.round(mean("frequency"), 2).alias("avg_frequency"),
             F.round(mean("recency_days"), 1).alias("avg_recency_days"),
-            F.round(mean("customer_lifetime_value"), 2).alias("avg_lifetime_value"),
+            F.round(F.avg("customer_lifetime_value"), 2).alias("avg_lifetime_value"),
             F.round(F.avg("avg_order_value"), 2).alias("avg_order_value"),
             F.round(F.avg("purchase_frequency_rate"), 2).alias("avg_purchase_frequency"),
         )

@@ -29,6 +29,12 @@ def ratio0(num: str, den: str) -> str:
     return f"case when {den} > 0 then cast({num} as double) / cast({den} as double) else 0.0 end"
 
 
+def half_up(amount: str) -> str:
+    """Mean of exact decimals (up to four places) rounded half up to cents, in whole numbers."""
+    units = f"cast(sum({amount}) * 10000 as hugeint)"
+    return f"cast((2 * {units} + 100 * count(*)) // (200 * count(*)) as double) / 100"
+
+
 def bins(column: str, edges: list[float], labels: list[str]) -> str:
     """Right-closed bins, from the top down."""
     arms = [f"when {column} > {low} then '{label}'" for low, label in list(zip(edges, labels))[::-1]]
@@ -131,12 +137,12 @@ CTES.update(
                         when recency_days <= 365 and frequency >= 1 then 'Low Engagement'
                         else 'Inactive' end as engagement_level
             from rfm_scored""",
-        "rfm_sum": """
+        "rfm_sum": f"""
             select rfm_segment, customer_value_tier, engagement_level, count(*) as customer_count,
-                   round(cast(sum(monetary_value) as double) / count(*), 2) as avg_monetary_value,
+                   {half_up('monetary_value')} as avg_monetary_value,
                    round(cast(sum(frequency) as double) / count(*), 2) as avg_frequency,
                    round(cast(sum(recency_days) as double) / count(*), 1) as avg_recency_days,
-                   round(cast(sum(monetary_value * 1.25) as double) / count(*), 2) as avg_lifetime_value,
+                   {half_up('monetary_value * 1.25')} as avg_lifetime_value,
                    round(avg(avg_order_value), 2) as avg_order_value,
                    round(avg(purchase_frequency_rate), 2) as avg_purchase_frequency
             from rfm group by all""",
@@ -916,7 +922,8 @@ ORACLES: dict[str, str] = {
     "a23_summary_stats": """
         with v as (select cast(total_amount as double) as v from txn_ok)
         select cast(count(v) as double) as count, round(avg(v), 6) as mean, round(stddev_samp(v), 6) as std, min(v) as min,
-               max(v) as max, round(sum(v), 6) as sum, round(median(v), 6) as median from v""",
+               max(v) as max, (select cast(sum(total_amount) as double) from txn_ok) as sum,
+               round(median(v), 6) as median from v""",
     "a24_rate": "select round(avg((journey_type = 'Converter')::int), 6) as converter_share from jrn",
     "a24_threshold_counts": """select count(*) filter (conversion_probability > 0.7::double) as high_count,
                                count(*) filter (conversion_probability < 0.3::double) as low_count from jrn""",
