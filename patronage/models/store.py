@@ -8,7 +8,6 @@ from datetime import datetime
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from patronage.models.forests import Forest
 from patronage.models.segmentation import Segmentation
@@ -49,6 +48,5 @@ def load_latest_model(spark: SparkSession, base: str, family: str, name: str) ->
 
 def feature_list(spark: SparkSession, fitted: Forest | Segmentation) -> DataFrame:
     """The feature names as a table, in model order, for a CSV sink."""
-    return spark.createDataFrame(list(enumerate(fitted.features)), "position int, feature string").select(
-        "feature", F.col("position")
-    )
+    rows = [(name, position) for position, name in enumerate(fitted.features)]
+    return spark.createDataFrame(rows, "feature string, position int")

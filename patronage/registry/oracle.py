@@ -1290,6 +1290,9 @@ ORACLES: dict[str, str] = {
         _group("category_distribution", "budget_category", "sc_bud"),
     ),
     "d11_master_report": _MASTER,
+    "d13_chart_scatter": f"""
+        select customer_id, cast(recency_days as bigint) as recency_days, cast(monetary_value as double) as monetary_value
+        from uni where {_hash()} < 0.5::double""",
     "d13_chart_histogram": _histogram("predicted_revenue", 50, "sc_rev"),
     "d13_chart_radar": """
         with m as (select rfm_segment, avg(cast(monetary_value as double)) as monetary_value, avg(frequency) as frequency,

@@ -25,6 +25,7 @@ from patronage.operators import (
     splits,
 )
 from patronage.plans import reports, unify
+from patronage.plans.batch import metrics_table
 from patronage.registry.publish import publish
 from patronage.registry.warehouse import AS_OF, Warehouse
 from patronage.sources import manifest, tables
@@ -597,18 +598,8 @@ query("f32_forecast_band")(
 
 # ---- models --------------------------------------------------------------------------
 
-def _metrics_table(w: Warehouse, fitted: dict[str, object]) -> DataFrame:
-    rows = [
-        (name, metric, float(value))
-        for name, model in fitted.items()
-        for metric, value in model.metrics.items()
-        if value is not None
-    ]
-    return w.spark.createDataFrame(rows, "model string, metric string, value double")
-
-
 def _metrics_of(name: str, history: bool = False):
-    return lambda w: _metrics_table(w, {name: w.history_model(name) if history else w.model(name)})
+    return lambda w: metrics_table(w.spark, {name: w.history_model(name) if history else w.model(name)})
 
 
 query("l1_kmeans")(_metrics_of("kmeans"))
@@ -743,7 +734,7 @@ query("d10_campaign_report_budget")(
     lambda w: reports.campaign_report(w.formula_scores("budget_optimization"), "budget_optimization")
 )
 query("d11_master_report")(lambda w: reports.master_report(_formula_tables(w)))
-query("d12_training_report")(lambda w: reports.training_report(_metrics_table(w, w.models)))
+query("d12_training_report")(lambda w: reports.training_report(metrics_table(w.spark, w.models)))
 query("d13_chart_histogram")(lambda w: reports.chart_histogram(w.formula_scores("revenue"), "predicted_revenue", 50))
 query("d13_chart_scatter")(lambda w: reports.chart_scatter(w.stored, "recency_days", "monetary_value", 0.5))
 query("d13_chart_radar")(lambda w: reports.chart_radar(w.stored, "rfm_segment"))

@@ -31,7 +31,7 @@ def prepare_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if configured:
         context.setCheckpointDir(configured)
     elif context.master.startswith("local"):

@@ -74,9 +74,22 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
-def materialize(df: DataFrame, name: str, mode: str = "overwrite", path: str | None = None) -> DataFrame:
-    """Create a table from a query. ``mode="ignore"`` keeps a table that is there already."""
+def materialize(
+    df: DataFrame,
+    name: str,
+    mode: str = "overwrite",
+    path: str | None = None,
+    bucket_by: str | None = None,
+    buckets: int = 1024,
+) -> DataFrame:
+    """Create a table from a query. ``mode="ignore"`` keeps a table that is there already.
+
+    ``bucket_by`` stores the rows hashed and sorted by a key: later aggregations by that key
+    and joins on it with tables of as many buckets read them without a shuffle.
+    """
     writer = df.write.mode(mode).format("parquet")
+    if bucket_by:
+        writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
