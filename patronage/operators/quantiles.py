@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from patronage.session import cut_lineage
+
 ACCURACY = 10_000
 SMALL_ROWS = 1_000_000
 
@@ -44,9 +46,12 @@ def exact_quantiles(
     sketch with a known rank error, the values outside the bracket are counted, and the
     search goes on inside it; a round keeps well under a thousandth of the rows, and a
     value that is repeated any number of times becomes a bound and is counted, not kept.
-    Only counts and bounds reach the driver.
+    Only counts and bounds reach the driver. The columns are stored first, as they are read
+    at least twice and may be the end of a long plan.
     """
-    values = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
+    values = cut_lineage(
+        df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
+    )
     counts = values.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
     result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns if counts[c] == 0}
 

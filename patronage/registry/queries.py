@@ -364,7 +364,7 @@ query("t6_exact_split")(
 )
 query("t7_train_test")(lambda w: _marked(*splits.train_test(w.customers, 0.2, 42), ["customer_id"]))
 query("t8_stratified_split")(
-    lambda w: _marked(*splits.train_test(w.rfm, 0.2, 42, stratify="rfm_segment"), ["customer_id", "rfm_segment"])
+    lambda w: _marked(*splits.train_test(w.stored, 0.2, 42, stratify="rfm_segment"), ["customer_id", "rfm_segment"])
 )
 query("t9_timeline_split")(lambda w: _marked(*splits.timeline_split(w.customers, AS_OF, 3), ["customer_id", "split_ts"]))
 

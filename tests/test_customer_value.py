@@ -130,6 +130,15 @@ def test_same_result_with_other_partitioning(warehouse):
         w.spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
+@pytest.mark.parametrize("fanout", [False, True])
+def test_trusted_keys_give_the_same_metrics(warehouse, fanout):
+    w = warehouse
+    inputs = (w.customers, w.valid_transactions, w.valid_items, AS_OF)
+    counted = rfm.rfm_metrics(*inputs, item_fanout=fanout)
+    trusted = rfm.rfm_metrics(*inputs, item_fanout=fanout, trust_keys=True)
+    assert counted.exceptAll(trusted).isEmpty() and trusted.exceptAll(counted).isEmpty()
+
+
 def test_approximate_counts_are_close(warehouse):
     w = warehouse
     near = rfm.rfm_metrics(w.customers, w.transactions, w.items, AS_OF, approx=True).agg(F.sum("frequency")).first()[0]
