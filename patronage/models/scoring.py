@@ -22,6 +22,7 @@ from patronage.models.segmentation import (
 )
 from patronage.models.training import forecasting_inputs, journey_inputs
 from patronage.operators.features import cut_equal, expected_value, roi_estimate, with_purchases
+from patronage.session import small_side
 
 
 def binned(df: DataFrame, column: str, bins: tuple[list, list], name: str) -> DataFrame:
@@ -48,6 +49,24 @@ def score_segments_named(segmentation: Segmentation, df: DataFrame) -> DataFrame
     return placed.withColumn("kmeans_segment_type", kmeans_names("kmeans_segment"))
 
 
+def score_segment_requests(segmentation: Segmentation, profile: DataFrame, df: DataFrame, as_of: date) -> DataFrame:
+    """Segment of each requested customer with the profile the segment had in training.
+
+    ``profile`` is a :func:`segment_summary` of the training rows. Absent features count as
+    0; a segment without a profile is 'Unknown'.
+    """
+    placed = assign_segments(segmentation, df, ["customer_id"])
+    joined = placed.join(small_side(profile), "segment", "left")
+    return joined.select(
+        "customer_id",
+        "segment",
+        F.coalesce("segment_type", F.lit("Unknown")).alias("segment_type"),
+        F.lit(0.8).alias("confidence_score"),
+        F.lit(as_of).alias("inference_date"),
+        *[c for c in profile.columns if c not in ("segment", "segment_type")],
+    )
+
+
 def score_density(df: DataFrame, features: Sequence[str], **options) -> DataFrame:
     """Density segments are found anew among the scored customers."""
     buyers = with_purchases(df)

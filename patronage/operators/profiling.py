@@ -165,12 +165,16 @@ def feature_categories(columns: Sequence[str]) -> list[tuple[str, str]]:
 def profile(df: DataFrame) -> DataFrame:
     """A table profile as (section, key, value) text rows.
 
-    Sections: shape, types, feature categories, missing values, duplicates, numeric
+    Sections: shape (rows, columns by kind), types, feature categories, missing values, duplicates, numeric
     summary, and value counts of every text column.
     """
     spark = df.sparkSession
     static = (
-        [("shape", "columns", str(len(df.columns)))]
+        [
+            ("shape", "columns", str(len(df.columns))),
+            ("shape", "numeric_columns", str(len(numeric_columns(df)))),
+            ("shape", "text_columns", str(len(text_columns(df)))),
+        ]
         + [("type", f.name, f.dataType.simpleString()) for f in df.schema.fields]
         + [("feature_category", c, category) for category, c in feature_categories(df.columns)]
     )

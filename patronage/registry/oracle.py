@@ -730,7 +730,13 @@ CTES["prf"] = """
     select support, hits, case when predicted > 0 then hits / predicted else 0 end as pr, hits / support as re from cls"""
 
 
-def _density(features: list[str]) -> str:
+_LABELLED = "select customer_id, segment from placed"
+_NAMED = """select customer_id, segment as density_segment, case when segment = -1 then 'Noise'
+               else 'Segment_' || cast(dense_rank() over (order by segment) - 1 as varchar) end as density_segment_type
+            from placed"""
+
+
+def _density(features: list[str], result: str = _LABELLED) -> str:
     """Brute-force DBSCAN* with eps 0.1, 10 samples, clusters of 50 and more."""
     axes = ", ".join(
         f"(cast({f} as double) - avg(cast({f} as double)) over ()) / stddev_samp(cast({f} as double)) over () as x{i}"
@@ -745,9 +751,10 @@ def _density(features: list[str]) -> str:
         reach(id, root) as (select id, id from core union select l.b, r.root from reach r join link l on l.a = r.id),
         lab as (select id, min(root) as root from reach group by id),
         big as (select root, row_number() over (order by root) - 1 as segment
-                from lab group by root having count(*) >= 50)
-        select pts.id as customer_id, cast(coalesce(big.segment, -1) as bigint) as segment
-        from pts left join lab on lab.id = pts.id left join big on big.root = lab.root"""
+                from lab group by root having count(*) >= 50),
+        placed as (select pts.id as customer_id, cast(coalesce(big.segment, -1) as bigint) as segment
+                   from pts left join lab on lab.id = pts.id left join big on big.root = lab.root)
+        {result}"""
 
 
 ORACLES: dict[str, str] = {
@@ -1199,6 +1206,15 @@ ORACLES: dict[str, str] = {
     # models
     "l2_density_segments": _density(["recency_days", "frequency", "monetary_value"]),
     "l2_density_recency_frequency": _density(["recency_days", "frequency"]),
+    "l15_score_density": _density(["recency_days", "frequency"], _NAMED),
+    "l22_score_all": f"""
+        with n as (select count(*) as n from uni where registration_date >= {AS_OF} - 90)
+        select family, model, count(*) as models_run, cast(sum(n) as bigint) as total_predictions
+        from n, (values ('customer_segmentation', 'kmeans'), ('customer_segmentation', 'density'), ('forecasting', 'revenue'),
+                        ('forecasting', 'ctr'), ('journey_simulation', 'journey_stage'),
+                        ('journey_simulation', 'conversion_prediction'), ('campaign_optimization', 'campaign_success'),
+                        ('campaign_optimization', 'budget_optimization')) as m(family, model)
+        group by rollup (family, model)""",
     "l3_silhouette": _SILHOUETTE,
     "l4_calinski_harabasz": """
         select round(((m - (g0 * g0 + g1 * g1) / n) / (k - 1)) / ((q - m) / (n - k)), 6) as calinski_harabasz
@@ -1289,6 +1305,15 @@ ORACLES: dict[str, str] = {
         ),
         _group("category_distribution", "budget_category", "sc_bud"),
     ),
+    "d10_probability_report": _lines(
+        *_summary(
+            "summary", "sc_conv", total_customers="count(*)", mean="avg(predicted_conversion_probability::double)",
+            median="median(predicted_conversion_probability::double)",
+            std="stddev_samp(predicted_conversion_probability::double)",
+        ),
+        _group("category_distribution", bins("predicted_conversion_probability", *PROBABILITY_COARSE), "sc_conv"),
+        _group("prediction_distribution", "(predicted_conversion_probability > 0.5::double)::int", "sc_conv"),
+    ),
     "d11_master_report": _MASTER,
     "d13_chart_scatter": f"""
         select customer_id, cast(recency_days as bigint) as recency_days, cast(monetary_value as double) as monetary_value

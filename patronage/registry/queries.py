@@ -180,12 +180,12 @@ query("j2_keep_with_parent")(
     lambda w: cleanup.keep_with_parent(w.view("transactions"), w.customers, "customer_id").select("transaction_id", "customer_id")
 )
 query("j3_order_item_chain")(
-    lambda w: rfm.rfm_metrics(w.customers, w.transactions, w.items, AS_OF).select(
+    lambda w: rfm.rfm_metrics(w.customers, w.valid_transactions, w.valid_items, AS_OF).select(
         "customer_id", "frequency", "total_items_purchased"
     )
 )
 query("j4_left_join_aggregate")(
-    lambda w: campaign.campaign_metrics(w.campaigns, w.performance).select("campaign_id", "total_clicks", "total_revenue")
+    lambda w: campaign.campaign_metrics(w.campaigns, w.valid_performance).select("campaign_id", "total_clicks", "total_revenue")
 )
 query("j5_star_join")(lambda w: w.journey)
 query("j6_merge_suffix")(
@@ -232,12 +232,12 @@ def _(w):
 
 # ---- aggregations --------------------------------------------------------------------
 
-query("a1_rfm_metrics")(lambda w: rfm.rfm_metrics(w.customers, w.transactions, w.items, AS_OF))
+query("a1_rfm_metrics")(lambda w: rfm.rfm_metrics(w.customers, w.valid_transactions, w.valid_items, AS_OF))
 query("a1_rfm_metrics_fanout")(
-    lambda w: rfm.rfm_metrics(w.customers, w.transactions, w.items, AS_OF, item_fanout=True)
+    lambda w: rfm.rfm_metrics(w.customers, w.valid_transactions, w.valid_items, AS_OF, item_fanout=True)
 )
 query("a2_rfm_summary")(lambda w: rfm.rfm_summary(w.rfm))
-query("a3_campaign_metrics")(lambda w: campaign.campaign_metrics(w.campaigns, w.performance))
+query("a3_campaign_metrics")(lambda w: campaign.campaign_metrics(w.campaigns, w.valid_performance))
 query("a4_channel_summary")(lambda w: campaign.channel_summary(w.campaign_data))
 query("a5_type_summary")(lambda w: campaign.type_summary(w.campaign_data))
 query("a6_session_stats")(lambda w: journey.session_stats(w.view("sessions")))
@@ -246,7 +246,7 @@ query("a8_event_stats")(lambda w: journey.event_stats(w.view("click_events")))
 query("a9_interaction_stats")(lambda w: journey.interaction_stats(w.view("product_interactions")))
 query("a10_search_stats")(lambda w: journey.search_stats(w.view("search_queries")))
 query("a11_journey_summary")(lambda w: journey.journey_summary(w.journey))
-query("a12_ab_variant_totals")(lambda w: abtest.ab_variant_totals(w.ab_tests, w.ab_test_results))
+query("a12_ab_variant_totals")(lambda w: abtest.ab_variant_totals(w.ab_tests, w.valid_results))
 query("a13_ab_summary")(lambda w: abtest.ab_summary(w.ab))
 
 
@@ -653,7 +653,7 @@ def _(w):
 
 query("l15_score_segments")(lambda w: scoring.score_segments(w.model("kmeans"), w.infer_part))
 query("l15_score_segments_named")(lambda w: scoring.score_segments_named(w.history_model("kmeans"), w.history_infer))
-query("l15_score_density")(lambda w: scoring.score_density(w.stored, DENSITY_FEATURES))
+query("l15_score_density")(lambda w: scoring.score_density(w.stored, ["recency_days", "frequency"]))
 query("l16_score_revenue")(lambda w: scoring.score_revenue(w.model("revenue"), training_inputs(w), AS_OF))
 query("l16_score_revenue_levels")(
     lambda w: scoring.with_levels(
@@ -683,11 +683,13 @@ def _(w):
     return reports.master_report(scoring.score_all(w.models, w.infer_part, AS_OF, DENSITY_FEATURES))
 
 
-query("l23_segment_requests")(
-    lambda w: scoring.score_segments(w.model("kmeans"), w.stored).select(
-        "customer_id", "kmeans_segment", "kmeans_segment_type", "kmeans_segment_size"
-    )
-)
+@query("l23_segment_requests")
+def _(w):
+    trained = features.with_purchases(w.train_part)
+    measures = ["monetary_value", "frequency", "recency_days", "engagement_score"]
+    placed = segmentation.assign_segments(w.model("kmeans"), trained, ["customer_id", *measures])
+    profile = segmentation.segment_summary(placed, "segment")
+    return scoring.score_segment_requests(w.model("kmeans"), profile, w.stored, AS_OF)
 
 
 # ---- reports -------------------------------------------------------------------------
@@ -733,6 +735,15 @@ query("d10_campaign_report_success")(
 query("d10_campaign_report_budget")(
     lambda w: reports.campaign_report(w.formula_scores("budget_optimization"), "budget_optimization")
 )
+@query("d10_probability_report")
+def _(w):
+    p = F.col("predicted_conversion_probability")
+    scores = w.formula_scores("conversion_prediction").select(
+        p, (p > 0.5).cast("int").alias("decision"), e.cut(p, *k.PROBABILITY_BINS_COARSE).alias("category")
+    )
+    return reports.probability_report(scores, "predicted_conversion_probability", "category", "decision")
+
+
 query("d11_master_report")(lambda w: reports.master_report(_formula_tables(w)))
 query("d12_training_report")(lambda w: reports.training_report(metrics_table(w.spark, w.models)))
 query("d13_chart_histogram")(lambda w: reports.chart_histogram(w.formula_scores("revenue"), "predicted_revenue", 50))

@@ -111,14 +111,21 @@ class Warehouse:
     def valid_items(self) -> DataFrame:
         return cleanup.passing(self.view("item_lines"), cleanup.item_rules())
 
+    @cached_property
+    def valid_performance(self) -> DataFrame:
+        return cleanup.passing(self.view("campaign_performance"), cleanup.performance_rules())
+
+    @cached_property
+    def valid_results(self) -> DataFrame:
+        return cleanup.passing(self.view("ab_test_results"), cleanup.ab_result_rules())
+
     @cached_property
     def rfm(self) -> DataFrame:
         return rfm.customer_rfm(self.customers, self.valid_transactions, self.valid_items, AS_OF)
 
     @cached_property
     def campaign_data(self) -> DataFrame:
-        valid = cleanup.passing(self.view("campaign_performance"), cleanup.performance_rules())
-        return campaign.campaign_segments(campaign.campaign_metrics(self.campaigns, valid))
+        return campaign.campaign_segments(campaign.campaign_metrics(self.campaigns, self.valid_performance))
 
     @cached_property
     def journey(self) -> DataFrame:
@@ -133,8 +140,7 @@ class Warehouse:
 
     @cached_property
     def ab(self) -> DataFrame:
-        valid = cleanup.passing(self.view("ab_test_results"), cleanup.ab_result_rules())
-        return abtest.ab_results(self.ab_tests, valid)
+        return abtest.ab_results(self.ab_tests, self.valid_results)
 
     @cached_property
     def joined(self) -> DataFrame:
@@ -160,9 +166,8 @@ class Warehouse:
     @property
     def stored(self) -> DataFrame:
         """The unified table with order history, written once and read by many jobs."""
-        return self.once(
-            "unified", lambda: cut_lineage(unify.attach_order_history(self.unified, self.order_history))
-        )
+        history = features.order_history_features(cleanup.successful_orders(self.valid_transactions), AS_OF)
+        return self.once("unified", lambda: cut_lineage(unify.attach_order_history(self.unified, history)))
 
     @property
     def train_part(self) -> DataFrame:
