@@ -48,3 +48,37 @@ def test_rfm_has_no_join_of_raw_orders_with_customers(spark):
     """Order rows are summed per customer before they meet the customer table."""
     plan = QUERIES["m5_rfm_segments"](spark, SAMPLE)._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" not in plan
+
+
+def test_hot_parent_key_is_split_at_run_time(spark):
+    """A third of the children share one parent: the adaptive join splits that partition."""
+    from pyspark.sql import functions as F
+
+    from patronage.operators.cleanup import keep_with_parent
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        rows = spark.range(300_000).repartition(8)
+        child = rows.select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("k"))
+        parent = spark.range(0, 5000, 2).withColumnRenamed("id", "k").union(spark.createDataFrame([(7,)], "k bigint"))
+        kept = keep_with_parent(child, parent, "k")
+        found = kept.collect()
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in plan and "skew=true" in plan
+        assert len(found) == child.filter("k = 7 or k % 2 = 0").count()
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
