@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 from patronage.session import cut_lineage
 
 ACCURACY = 10_000
-SMALL_ROWS = 1_000_000
+# values per column the built-in percentile may hold, and values a last step may sort;
+# both are per column or rank, and dozens of those share one task
+SMALL_ROWS = 200_000
+PICK_ROWS = 20_000
 
 
 @dataclass
@@ -65,7 +68,7 @@ def exact_quantiles(
     if large:
         positions = {c: [p * (counts[c] - 1) for p in probs] for c in large}
         ranks = {(c, r) for c in large for x in positions[c] for r in (math.floor(x), math.ceil(x))}
-        found = _order_statistics(values, sorted(ranks), counts, small_rows)
+        found = _order_statistics(values, sorted(ranks), counts, min(small_rows, PICK_ROWS))
         for c in large:
             result[c] = []
             for x in positions[c]:
@@ -75,12 +78,12 @@ def exact_quantiles(
 
 
 def _order_statistics(
-    values: DataFrame, ranks: Sequence[tuple[str, int]], counts: dict[str, int], small_rows: int
+    values: DataFrame, ranks: Sequence[tuple[str, int]], counts: dict[str, int], pick_rows: int
 ) -> dict[tuple[str, int], float]:
     searches = {(c, r): _Search(c, r, counts[c]) for c, r in ranks}
     open_searches = list(searches.values())
     while open_searches:
-        final = [s for s in open_searches if s.rows <= small_rows]
+        final = [s for s in open_searches if s.rows <= pick_rows]
         if final:
             _pick(values, final)
         open_searches = [s for s in open_searches if s.answer is None]

@@ -644,11 +644,16 @@ def _(w):
     return metrics.classification_metrics(w.journey.withColumn("guess", guess), "journey_type", "guess")
 
 
-@query("l14_cross_validation")
-def _(w):
-    data = training.campaign_inputs(w.train_part, k.BUDGET_FEATURES)
-    result = forests.cross_validate(data, k.BUDGET_FEATURES, "optimal_budget", forests.REGRESSION)
-    return w.spark.createDataFrame([(name, float(v)) for name, v in result.items()], "metric string, value double")
+def _cross_validation(target: str, kind: str):
+    def build(w: Warehouse) -> DataFrame:
+        result = forests.cross_validate(w.history_train, k.ORDER_HISTORY_FEATURES, target, kind)
+        return w.spark.createDataFrame([(name, float(v)) for name, v in result.items()], "metric string, value double")
+
+    return build
+
+
+query("l14_cross_validation")(_cross_validation("label_budget", forests.REGRESSION))
+query("l14_cross_validation_accuracy")(_cross_validation("label_conversion", forests.CLASSIFICATION))
 
 
 query("l15_score_segments")(lambda w: scoring.score_segments(w.model("kmeans"), w.infer_part))

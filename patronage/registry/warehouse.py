@@ -185,9 +185,13 @@ class Warehouse:
     def model(self, name: str) -> object:
         return self.once(f"model {name}", lambda: training.TRAINERS[name](self.train_part, AS_OF))
 
+    @property
+    def history_train(self) -> DataFrame:
+        """Training rows of the order-history variant, with labels."""
+        return self.once("history inputs", lambda: cut_lineage(training.history_inputs(self.train_part)))
+
     def history_model(self, name: str) -> object:
-        prepared = self.once("history inputs", lambda: cut_lineage(training.history_inputs(self.train_part)))
-        return self.once(f"history model {name}", lambda: training.train_history(name, prepared))
+        return self.once(f"history model {name}", lambda: training.train_history(name, self.history_train))
 
     @property
     def models(self) -> dict[str, object]:
