@@ -98,6 +98,7 @@ VIEWS: dict[str, str] = {
                cast(s_acctbal as decimal(12,2)) as budget,
                case when s_suppkey % 5 < 3 then 'Active' when s_suppkey % 5 = 3 then 'Paused' else 'Completed' end as status
         from {supplier}""",
+    # one campaign in 25 is specified to have no rows, to exercise NULL totals
     "campaign_performance": f"""
         select {_LINE_ID} as performance_id,
                'CAMP_' || lpad(cast(l_suppkey as string), 6, '0') as campaign_id,
