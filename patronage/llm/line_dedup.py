@@ -17,6 +17,8 @@ MIN_CHARS = 20
 MIN_DOCS = 3
 BATCHES = 4
 FANOUT = 2
+#: A line hash is met by its documents in so many places, as one line can be in most of them.
+SALTS = 32
 EDGES = " \t\n\x0b\x0c\r"
 
 
@@ -125,8 +127,10 @@ def dedup_lines(
         runs.add(stored.where(F.col("batch") == number))
     repeated = runs.totals().where(F.col("n_docs") >= min_docs)
     # the merge anti-join, told from its other side: lines that a run takes away
+    salted = repeated.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     taken = (
-        stored.join(repeated, "line_hash")
+        stored.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+        .join(salted, ["line_hash", "salt"])
         .where("doc_id < last_doc")
         .groupBy("doc_id", "text_key")
         .agg(F.collect_set("line_hash").alias("taken"))

@@ -5,10 +5,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm import decontaminate, line_dedup, quality_rules, url_filter
+from patronage.llm import decontaminate, language_id, license_scan, line_dedup, packing, quality_rules, toxicity, url_filter
 from patronage.llm.common import read
 
 
+def public_vocabulary() -> dict[str, str]:
+    """Files of the public tokenizer that the packing query uses."""
+    import public_tokenizers
+
+    path = public_tokenizers.path
+    return {
+        "tokenizer": path("byte_bpe_50k.json"),
+        "ranks": path("byte_bpe_50k.tiktoken"),
+        "pattern": public_tokenizers.PATTERN,
+    }
+
+
+def op1_rank_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = language_id.identify(read(spark, sf_dir, "documents"))
+    held_out = language_id.is_held_out(F.col("doc_id"), 4, 2)
+    return judged.select("doc_id", held_out.alias("held_out"), "language.lang_pred", "language.score")
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(read(spark, sf_dir, "documents"))
+
+
 def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict per page. A page's outcome is bad if the row of ``labels`` with its id has quality 0."""
     labels = read(spark, sf_dir, "labels")
@@ -17,6 +39,10 @@ def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op6_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.cut_pieces(read(spark, sf_dir, "documents"), **public_vocabulary()))
+
+
 def op7_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -41,9 +67,23 @@ def op9_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *quality_rules.MEASURES[:5], "base_failed", "kept")
 
 
+def op10_recurrent_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitted on the labels of documents whose crc32 leaves 0 or 2 by 3."""
+    docs = read(spark, sf_dir, "documents")
+    held_out = language_id.is_held_out(F.col("doc_id"), 3, 1)
+    labels = read(spark, sf_dir, "labels")
+    score = toxicity.toxicity_udf(toxicity.fit_on(docs, labels.where(~held_out)))
+    scored = docs.select("doc_id", held_out.alias("held_out"), score("text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.CUT).cast("int"))
+
+
 QUERIES = {
+    "op1_rank_order": op1_rank_order,
+    "op2_license_scan": op2_license_scan,
     "op4_url_reputation": op4_url_reputation,
+    "op6_best_fit": op6_best_fit,
     "op7_line_runs": op7_line_runs,
     "op8_winnowing": op8_winnowing,
     "op9_rule_ledger": op9_rule_ledger,
+    "op10_recurrent_toxicity": op10_recurrent_toxicity,
 }
