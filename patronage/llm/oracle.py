@@ -54,6 +54,19 @@ select page_id, host, path, {rule} as rule,
 from seen left join low using (host)"""
 
 
+_OP3 = rf"""
+with w as (select doc_id, {_WORDS} as w from documents),
+win as (select doc_id, i, hash(array_to_string(w[i:i + 49], ' ')) as run, md5(array_to_string(w[i:i + 49], ' ')) as proof
+  from (select doc_id, w, unnest(range(1, len(w) - 48)) as i from w)),
+first as (select run, proof, min(doc_id) as owner from win group by all),
+gone as (select distinct doc_id, place from (
+  select doc_id, unnest(range(i, i + 50)) as place from win join first using (run, proof) where doc_id > owner)),
+word as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as place from w),
+kept as (select doc_id, count(*) as n_kept, string_agg(word, ' ' order by place) as text
+  from word anti join gone using (doc_id, place) group by doc_id)
+select doc_id, len(w) as n_words, len(w) - coalesce(n_kept, 0) as n_removed, sha256(coalesce(text, '')) as kept_sha256
+from w left join kept using (doc_id)"""
+
 _OP7 = rf"""
 with line as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
@@ -104,6 +117,7 @@ from b"""
 
 ORACLES = {
     "op4_url_reputation": _op4(),
+    "op3_suffix_automata": _OP3,
     "op7_line_runs": _OP7,
     "op8_winnowing": _OP8,
     "op9_rule_ledger": _OP9,

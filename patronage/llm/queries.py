@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm import decontaminate, language_id, license_scan, line_dedup, packing, quality_rules, toxicity, url_filter
+from patronage.llm import decontaminate, language_id, license_scan, line_dedup, packing, quality_rules, substring_dedup, toxicity, url_filter
 from patronage.llm.common import read
 
 
@@ -31,6 +31,11 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(read(spark, sf_dir, "documents"))
 
 
+def op3_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.dedup_substrings(read(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict per page. A page's outcome is bad if the row of ``labels`` with its id has quality 0."""
     labels = read(spark, sf_dir, "labels")
@@ -80,6 +85,7 @@ def op10_recurrent_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_rank_order": op1_rank_order,
     "op2_license_scan": op2_license_scan,
+    "op3_suffix_automata": op3_suffix_automata,
     "op4_url_reputation": op4_url_reputation,
     "op6_best_fit": op6_best_fit,
     "op7_line_runs": op7_line_runs,
