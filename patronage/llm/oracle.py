@@ -67,6 +67,17 @@ kept as (select doc_id, count(*) as n_kept, string_agg(word, ' ' order by place)
 select doc_id, len(w) as n_words, len(w) - coalesce(n_kept, 0) as n_removed, sha256(coalesce(text, '')) as kept_sha256
 from w left join kept using (doc_id)"""
 
+_OP5 = rf"""
+with recursive w as (select doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x20\x09-\x0D]+') as w from documents),
+s as (select distinct doc_id, array_to_string(w[i:i + 3], ' ') as g
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) as i from w where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+common as (select a.doc_id as a, b.doc_id as b, count(*) as joint from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by all),
+link as (select a, b from common join n x on x.doc_id = a join n y on y.doc_id = b where 100 * joint >= 85 * (x.n + y.n - joint)),
+reach as (select doc_id, doc_id as other from w union select r.doc_id, l.b from reach r join link l on l.a = r.other)
+select w.doc_id, coalesce(any_value(n), 0) as n_shingles, min(other) as component_id
+from w left join n using (doc_id) join reach using (doc_id) group by w.doc_id"""
+
 _OP7 = rf"""
 with line as (
   select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
@@ -118,6 +129,7 @@ from b"""
 ORACLES = {
     "op4_url_reputation": _op4(),
     "op3_suffix_automata": _OP3,
+    "op5_adaptive_prefix": _OP5,
     "op7_line_runs": _OP7,
     "op8_winnowing": _OP8,
     "op9_rule_ledger": _OP9,

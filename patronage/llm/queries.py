@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm import decontaminate, language_id, license_scan, line_dedup, packing, quality_rules, substring_dedup, toxicity, url_filter
+from patronage.llm import decontaminate, language_id, license_scan, line_dedup, ngram_join, packing, quality_rules, substring_dedup, toxicity, url_filter
 from patronage.llm.common import read
 
 
@@ -44,6 +44,11 @@ def op4_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op5_adaptive_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.near_duplicates(read(spark, sf_dir, "documents"), words=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op6_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.cut_pieces(read(spark, sf_dir, "documents"), **public_vocabulary()))
 
@@ -87,6 +92,7 @@ QUERIES = {
     "op2_license_scan": op2_license_scan,
     "op3_suffix_automata": op3_suffix_automata,
     "op4_url_reputation": op4_url_reputation,
+    "op5_adaptive_prefix": op5_adaptive_prefix,
     "op6_best_fit": op6_best_fit,
     "op7_line_runs": op7_line_runs,
     "op8_winnowing": op8_winnowing,
