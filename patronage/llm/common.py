@@ -35,14 +35,24 @@ def ngram_hashes(words: Column, count: Column, n: int) -> Column:
     ).otherwise(F.array().cast("array<bigint>"))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
+def keyed(docs: DataFrame, rest: bool = False) -> DataFrame:
     """``doc_id``, ``text`` and ``text_key``, a hash of the text.
 
-    Only these columns are read, so other columns can have any name. The pair (doc_id,
-    text_key) names a row's result: identical rows share one, and rows that repeat an id with
-    another text do not mix.
+    Only these columns are read, so other columns can have any name; with ``rest`` they come
+    along in a struct of that name. The pair (doc_id, text_key) names a row's result: identical
+    rows share one, and rows that repeat an id with another text do not mix.
     """
-    return docs.select("doc_id", "text", F.xxhash64(F.lit(17), "text").alias("text_key"))
+    other = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")] or [F.lit(0).alias("none")]
+    more = [F.struct(*other).alias("rest")] if rest else []
+    return docs.select("doc_id", "text", F.xxhash64(F.lit(17), "text").alias("text_key"), *more)
+
+
+def with_rest(rows: DataFrame, columns: Sequence[str], text: Column | None = None) -> DataFrame:
+    """``columns`` as they were before ``keyed``; a new text goes with its own ``n_chars``."""
+    own = {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    if text is not None:
+        own |= {"text": text, "n_chars": F.char_length(text).cast("long")}
+    return rows.select(*((own[c] if c in own else F.col("rest").getField(c)).alias(c) for c in columns))
 
 
 def same_row(a: DataFrame, b: DataFrame) -> Column:

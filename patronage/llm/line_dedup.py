@@ -100,23 +100,16 @@ class LineRuns:
         self.levels = []
 
 
-def dedup_lines(
+def repeated_lines(
     docs: DataFrame,
     min_chars: int = MIN_CHARS,
     min_docs: int = MIN_DOCS,
     batches: int = BATCHES,
     fanout: int = FANOUT,
 ) -> DataFrame:
-    """``doc_id``, ``text_key``, ``n_lines``, ``n_dropped`` and the kept ``text`` per row.
-
-    Line keys of at least ``min_chars`` code points in at least ``min_docs`` documents keep
-    their lines in the largest doc_id only. Null and empty texts are one empty line. Rows that
-    share a doc_id count as one document, and each is cleaned; rows without doc_id are not
-    counted and stay whole. Jobs run while the runs are written.
-    """
+    """(doc_id, text_key, taken): hashes of the lines that a row loses; see ``dedup_lines``."""
     spark = docs.sparkSession
-    rows = keyed(docs)
-    lines = long_lines(rows, min_chars)
+    lines = long_lines(keyed(docs), min_chars)
     staged = shared_folder(spark, "line-batches")
     batch = F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")
     lines.withColumn("batch", batch).write.partitionBy("batch").parquet(staged)
@@ -126,29 +119,56 @@ def dedup_lines(
     for number in range(batches):
         runs.add(stored.where(F.col("batch") == number))
     repeated = runs.totals().where(F.col("n_docs") >= min_docs)
-    # the merge anti-join, told from its other side: lines that a run takes away
     salted = repeated.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # the merge anti-join, told from its other side: lines that a run takes away
     taken = (
         stored.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
         .join(salted, ["line_hash", "salt"])
         .where("doc_id < last_doc")
         .groupBy("doc_id", "text_key")
         .agg(F.collect_set("line_hash").alias("taken"))
+        .checkpoint()
     )
-    taken = taken.checkpoint()
     runs.drop()
     remove_folders(spark, [staged])
-    body = rows.withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n"))
-    body = body.join(taken, same_row(body, taken), "left").select(
-        body["doc_id"], body["text_key"], body["text"], body["lines"], taken["taken"]
+    return taken
+
+
+def cleaned(docs: DataFrame, taken: DataFrame, rest: bool = False) -> DataFrame:
+    """doc_id, text_key, n_lines, n_dropped, the kept ``text``, and ``rest`` if asked for."""
+    rows = keyed(docs, rest)
+    more = [rows["rest"]] if rest else []
+    names = ["rest"] if rest else []
+    rows = rows.join(taken, same_row(rows, taken), "left").select(
+        rows["doc_id"], rows["text_key"], F.split(F.coalesce(rows["text"], F.lit("")), "\n").alias("lines"), "taken", *more
     )
     kept = F.when(F.col("taken").isNull(), F.col("lines")).otherwise(
         F.filter("lines", lambda x: ~F.array_contains("taken", line_hash(x)))
     )
-    return body.select("doc_id", "text_key", "lines", kept.alias("kept")).select(
+    return rows.select("doc_id", "text_key", "lines", kept.alias("kept"), *names).select(
         "doc_id",
         "text_key",
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size("kept")).cast("long").alias("n_dropped"),
         F.array_join("kept", "\n").alias("text"),
+        *names,
     )
+
+
+def dedup_lines(
+    docs: DataFrame,
+    min_chars: int = MIN_CHARS,
+    min_docs: int = MIN_DOCS,
+    batches: int = BATCHES,
+    fanout: int = FANOUT,
+    rest: bool = False,
+) -> DataFrame:
+    """``doc_id``, ``text_key``, ``n_lines``, ``n_dropped`` and the kept ``text`` per row.
+
+    Line keys of at least ``min_chars`` code points in at least ``min_docs`` documents keep
+    their lines in the largest doc_id only. Null and empty texts are one empty line. Rows that
+    share a doc_id count as one document, and each is cleaned; rows without doc_id are not
+    counted and stay whole. Jobs run while the runs are written. With ``rest``, the other
+    columns of ``docs`` come along in a struct.
+    """
+    return cleaned(docs, repeated_lines(docs, min_chars, min_docs, batches, fanout), rest)
