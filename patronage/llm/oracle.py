@@ -21,7 +21,7 @@ def _op4() -> str:
     two = ", ".join(f"'{s}'" for s in TWO_LABEL_SUFFIXES)
     level = """(with e as (select sum((s - n * prior) * (s - n * prior) - n * prior * (1 - prior)) as up,
         sum(n * prior * (1 - prior) * (n - 1)) as room from {t})
-        select 1 / (case when room > 0 then least(0.999, greatest(0.001, up / room)) else 0.001 end) - 1 from e)"""
+        select 1 / (case when room > 0 then least(0.5, greatest(0.001, up / room)) else 0.001 end) - 1 from e)"""
     return f"""
 with split as (
   select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
@@ -48,7 +48,7 @@ d1 as (select d.domain, d.n, d.s, (x2.s - d.s + x2.k * x2.prior) / (x2.n - d.n +
 d2 as (select *, {level.format(t="d1")} as k from d1),
 h1 as (select h.host, h.n, h.s, (d2.s - h.s + d2.k * d2.prior) / (d2.n - h.n + d2.k) as prior from h join d2 using (domain)),
 h2 as (select host, s + k * prior as a, n - s + k * (1 - prior) as b from (select *, {level.format(t="h1")} as k from h1)),
-low as (select host, 1 / (1 + exp(-(ln(a / b) - {Z} * sqrt((a + b) * (a + b) / (a * b * (a + b + 1)))))) as bad_low from h2)
+low as (select host, greatest(0, a / (a + b) - {Z} * sqrt(a * b / (a + b + 1)) / (a + b)) as bad_low from h2)
 select page_id, host, path, {rule} as rule,
   coalesce({verdict}, case when bad_low > {MAX_BAD} then 'block' else 'allow' end) as verdict
 from seen left join low using (host)"""

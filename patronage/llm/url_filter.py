@@ -73,7 +73,7 @@ def _strength() -> Column:
     binomial = n * m * (1 - m)
     excess = F.sum((s - n * m) * (s - n * m) - binomial)
     room = F.sum(binomial * (n - 1))
-    rho = F.when(room > 0, F.least(F.lit(0.999), F.greatest(F.lit(0.001), excess / room))).otherwise(F.lit(0.001))
+    rho = F.when(room > 0, F.least(F.lit(0.5), F.greatest(F.lit(0.001), excess / room))).otherwise(F.lit(0.001))
     return 1 / rho - 1
 
 
@@ -81,7 +81,8 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame, z: float = Z) -> Data
     """``host``, ``labelled``, ``bad_rate`` and ``bad_low`` for every host of ``hosts``.
 
     ``outcomes`` has (host, bad), bad 0 or 1, one row per labelled page; nulls are skipped.
-    All pages together start from one bad and one good page. The bound is normal in log odds.
+    All pages together start from one bad and one good page. The bound lies ``z`` standard
+    deviations of the posterior below its mean.
     """
     counts = (
         outcomes.where("bad is not null")
@@ -128,12 +129,12 @@ def host_reputation(outcomes: DataFrame, hosts: DataFrame, z: float = Z) -> Data
     beta = F.col("n") - F.col("s") + F.col("strength") * (1 - F.col("prior"))
     posterior = base.select("host", F.col("n").cast("long").alias("labelled"), alpha.alias("a"), beta.alias("b"))
     a, b = F.col("a"), F.col("b")
-    spread = F.sqrt((a + b) * (a + b) / (a * b * (a + b + 1)))
+    spread = F.sqrt(a * b / (a + b + 1)) / (a + b)
     return posterior.select(
         "host",
         "labelled",
         (a / (a + b)).alias("bad_rate"),
-        (1 / (1 + F.exp(-(F.log(a / b) - F.lit(z) * spread)))).alias("bad_low"),
+        F.greatest(F.lit(0.0), a / (a + b) - F.lit(z) * spread).alias("bad_low"),
     )
 
 
