@@ -38,17 +38,20 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return with_rest(line_dedup.dedup_lines(docs, rest=True), docs.columns, F.col("text"))
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+def _without(docs: DataFrame, gone: DataFrame, once: bool = False) -> DataFrame:
+    """Rows that ``gone`` does not name; with ``once``, one of those alike in id and text."""
     rows = keyed(docs, rest=True)
-    return with_rest(rows.join(gone, same_row(rows, gone), "left_anti"), docs.columns)
+    rows = rows.join(gone, same_row(rows, gone), "left_anti")
+    return with_rest(rows.dropDuplicates(["doc_id", "text_key"]) if once else rows, docs.columns)
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that are linked by five-word Jaccard similarities of 0.8 or more, the one
-    with the smallest doc_id stays. Documents without words or doc_id stay."""
+    with the smallest doc_id stays. Documents without words or doc_id stay. Of rows that repeat
+    both id and text, one stays."""
     found = ngram_join.near_duplicates(docs)
     gone = found.where("component_id < doc_id").select("doc_id", "text_key").distinct()
-    return _without(docs, gone)
+    return _without(docs, gone, once=True)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

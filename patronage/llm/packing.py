@@ -209,10 +209,9 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 def sequences(pieces_with_ids: DataFrame, packed: DataFrame) -> DataFrame:
     """``sequence_id`` and ``ids``: the packed sequences themselves, at most one capacity each."""
-    keys = ["doc_id", "piece", "ids_crc32"]
-    placed = packed.select(*keys, "sequence_id", "offset").join(
-        pieces_with_ids.select(*keys, "ids").dropDuplicates(keys), keys
-    )
+    ids = pieces_with_ids.select("doc_id", "piece", "ids_crc32", "ids").dropDuplicates(["doc_id", "piece", "ids_crc32"])
+    same = [packed[c].eqNullSafe(ids[c]) for c in ("doc_id", "piece", "ids_crc32")]
+    placed = packed.join(ids, same)
     parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))
     return placed.groupBy("sequence_id").agg(parts.alias("parts")).select(
         "sequence_id", F.aggregate("parts", F.lit(b""), lambda a, x: F.concat(a, x["ids"])).alias("ids")

@@ -33,6 +33,7 @@ _PAD, _UNKNOWN = 0, 1
 _GRAMS = 4_096
 _BATCH = 2_048
 _TRAINED = 256
+_NOTHING = -20.0  # logit of a text without words
 _WORDS_HELD = 200_000
 #: A-Z to lower case, digits to 0, other ASCII to a space; other bytes stay.
 _FOLD = bytes(
@@ -257,7 +258,8 @@ class Scorer(dict):
 
     def _group(self, group: list[list[bytes]]) -> np.ndarray:
         windows, owner = window_ids([len(w) for w in group], self._rows(group), STRIDE)
-        worst = np.full(len(group), -np.inf)
+        worst = np.where([bool(words) for words in group], -np.inf, _NOTHING)
+        windows, owner = windows[worst[owner] == -np.inf], owner[worst[owner] == -np.inf]
         for at in range(0, len(windows), _BATCH):
             np.maximum.at(worst, owner[at : at + _BATCH], self.net.run(self.table, windows[at : at + _BATCH]))
         return worst
@@ -366,7 +368,7 @@ def fit_on(docs: DataFrame, labels: DataFrame, per_class: int = FIT_DOCS, max_ch
 
 
 def toxicity_udf(net: Network):
-    """A column function: text to a score between 0 and 1; null and empty texts get one too."""
+    """A column function: text to a score between 0 and 1, close to 0 if it has no words."""
 
     @F.pandas_udf("double")
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
