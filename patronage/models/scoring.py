@@ -22,7 +22,6 @@ from patronage.models.segmentation import (
 )
 from patronage.models.training import forecasting_inputs, journey_inputs
 from patronage.operators.features import cut_equal, expected_value, roi_estimate, with_purchases
-from patronage.session import small_side
 
 
 def binned(df: DataFrame, column: str, bins: tuple[list, list], name: str) -> DataFrame:
@@ -56,7 +55,7 @@ def score_segment_requests(segmentation: Segmentation, profile: DataFrame, df: D
     0; a segment without a profile is 'Unknown'.
     """
     placed = assign_segments(segmentation, df, ["customer_id"])
-    joined = placed.join(small_side(profile), "segment", "left")
+    joined = placed.join(profile, "segment", "left")
     return joined.select(
         "customer_id",
         "segment",

@@ -18,7 +18,6 @@ from patronage.functions import constants as k
 from patronage.functions.expr import ladder, map_values, mean
 from patronage.models.metrics import calinski_harabasz
 from patronage.operators.ranking import global_row_number
-from patronage.session import small_side
 
 
 @dataclass
@@ -134,7 +133,7 @@ def segment_stats(df: DataFrame, segment: str) -> DataFrame:
 def attach_segment_profile(scores: DataFrame, stats: DataFrame, segment: str, prefix: str) -> DataFrame:
     """Profile columns of its segment for every scored customer. The profile has one row per
     segment, so joining it does not move the scores unless there are very many segments."""
-    return scores.join(small_side(stats), segment, "left").select(
+    return scores.join(stats, segment, "left").select(
         *scores.columns,
         F.concat(F.lit("Segment_"), F.col(segment).cast("string")).alias(f"{prefix}_segment_type"),
         F.coalesce("monetary_value_mean", F.lit(0.0)).alias(f"{prefix}_avg_monetary"),
@@ -156,7 +155,7 @@ def segment_names(df: DataFrame, segment: str, noise: int = -1, name: str = "seg
     label = F.when(F.col(segment) == noise, F.lit("Noise")).otherwise(
         F.concat(F.lit("Segment_"), (F.col("_position") - 1).cast("string"))
     )
-    names = small_side(placed.withColumn(name, label).select(segment, name))
+    names = placed.withColumn(name, label).select(segment, name)
     return df.join(names, segment, "left").select(*df.columns, name)
 
 

@@ -12,9 +12,7 @@ from pyspark.sql import functions as F
 from patronage.session import cut_lineage
 
 ACCURACY = 10_000
-# values per column the built-in percentile may hold, and values a last step may sort;
-# both are per column or rank, and dozens of those share one task
-SMALL_ROWS = 200_000
+# values a last step may sort, per wanted rank; no result depends on it
 PICK_ROWS = 20_000
 
 
@@ -40,40 +38,29 @@ class _Search:
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], small_rows: int = SMALL_ROWS
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], pick_rows: int = PICK_ROWS
 ) -> dict[str, list[float | None]]:
     """Linearly interpolated quantiles per column, NULLs and NaNs skipped.
 
-    Columns of at most ``small_rows`` values use the built-in exact percentile, whose
-    state is then bounded. Above that, each wanted order statistic is bracketed by a
-    sketch with a known rank error, the values outside the bracket are counted, and the
-    search goes on inside it; a round keeps well under a thousandth of the rows, and a
-    value that is repeated any number of times becomes a bound and is counted, not kept.
-    Only counts and bounds reach the driver. The columns are stored first, as they are read
-    at least twice and may be the end of a long plan.
+    Each wanted order statistic is bracketed by a sketch with a known rank error, the values
+    outside the bracket are counted, and the search goes on inside it until ``pick_rows``
+    values or fewer are left to sort; a round keeps well under a thousandth of the rows, and
+    a value that is repeated any number of times becomes a bound and is counted, not kept.
+    Order statistics are exact, and there is one formula for all sizes. Only counts and bounds
+    reach the driver. The columns are stored first, as they are read at least twice and may be
+    the end of a long plan.
     """
     values = cut_lineage(
         df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
     )
     counts = values.agg(*[F.count(c).alias(c) for c in columns]).first().asDict()
-    result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns if counts[c] == 0}
-
-    small = [c for c in columns if 0 < counts[c] <= small_rows]
-    if small:
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        row = values.agg(*[F.percentile(c, wanted).alias(c) for c in small]).first()
-        result.update({c: list(row[c]) for c in small})
-
-    large = [c for c in columns if counts[c] > small_rows]
-    if large:
-        positions = {c: [p * (counts[c] - 1) for p in probs] for c in large}
-        ranks = {(c, r) for c in large for x in positions[c] for r in (math.floor(x), math.ceil(x))}
-        found = _order_statistics(values, sorted(ranks), counts, min(small_rows, PICK_ROWS))
-        for c in large:
-            result[c] = []
-            for x in positions[c]:
-                below, above = found[c, math.floor(x)], found[c, math.ceil(x)]
-                result[c].append(below + (above - below) * (x - math.floor(x)))
+    positions = {c: [p * (counts[c] - 1) for p in probs] for c in columns if counts[c]}
+    ranks = {(c, r) for c, places in positions.items() for x in places for r in (math.floor(x), math.ceil(x))}
+    found = _order_statistics(values, sorted(ranks), counts, pick_rows)
+    result: dict[str, list[float | None]] = {c: [None] * len(probs) for c in columns}
+    for c, places in positions.items():
+        pairs = [(found[c, math.floor(x)], found[c, math.ceil(x)], x - math.floor(x)) for x in places]
+        result[c] = [below + (above - below) * part for below, above, part in pairs]
     return result
 
 

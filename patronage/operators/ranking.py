@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patronage.session import cut_lineage, small_side
+from patronage.session import cut_lineage
 
 
 def global_row_number(df: DataFrame, order_by: Sequence[Column], name: str) -> DataFrame:
@@ -46,7 +46,7 @@ def rank_within(df: DataFrame, partition: Sequence[str], order_by: Sequence[Colu
     first = placed.groupBy(*[F.col(c).alias(k) for c, k in zip(partition, keys)]).agg(F.min("_position").alias("_first"))
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(k)) for c, k in zip(partition, keys)])
     return (
-        placed.join(small_side(first), same)
+        placed.join(first, same)
         .withColumn(name, F.col("_position") - F.col("_first") + 1)
         .drop("_position", "_first", *keys)
     )

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from patronage.functions.constants import RULE_SEGMENTS
 
-MAX_SEGMENTS = 1000
+#: Definitions that one projection evaluates; any number of them become several projections.
+TOGETHER = 500
 
 # Forms of a criterion: comparison with a number, comparison with an age in days
 _NUMBER = re.compile(r"^(>=|<=|>|<)\s*(-?\d+(?:\.\d+)?)$")
@@ -48,16 +49,14 @@ def criterion(column: str, rule: str, data_type: T.DataType, as_of: date) -> Col
 def assign_rule_segments(customers: DataFrame, segments: DataFrame, as_of: date) -> DataFrame:
     """Mapping rows (customer, segment) where every criterion of the segment holds.
 
-    The segment definitions are a small settings table, checked to be small, and become
-    conditions of one projection over the customers: no join, no shuffle, no pair of
-    customer and segment beyond the matches.
+    The segment definitions are a settings table, written by hand. They become conditions of
+    projections over the customers: no join, no shuffle, no pair of customer and segment
+    beyond the matches.
     """
     parsed = segments.select(
         "segment_id", F.from_json("criteria", "map<string,string>").alias("criteria")
     ).orderBy("segment_id")
-    definitions = parsed.limit(MAX_SEGMENTS + 1).collect()
-    if len(definitions) > MAX_SEGMENTS:
-        raise ValueError(f"more than {MAX_SEGMENTS} segment definitions")
+    definitions = parsed.collect()
     types = {f.name: f.dataType for f in customers.schema.fields}
 
     matches = []
@@ -69,8 +68,12 @@ def assign_rule_segments(customers: DataFrame, segments: DataFrame, as_of: date)
         holds = reduce(lambda a, b: a & b, [criterion(c, rule, types[c], as_of) for c, rule in criteria.items()])
         matches.append(F.when(holds, F.lit(definition["segment_id"])))
 
+    parts = [
+        customers.select("customer_id", F.explode(F.array_compact(F.array(*matches[i : i + TOGETHER]).cast("array<string>"))).alias("segment_id"))
+        for i in range(0, max(1, len(matches)), TOGETHER)
+    ]
     return (
-        customers.select("customer_id", F.explode(F.array_compact(F.array(*matches))).alias("segment_id"))
+        reduce(DataFrame.unionAll, parts)
         .withColumns(
             {
                 "mapping_id": F.concat_ws("-", "customer_id", "segment_id"),

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patronage.functions.expr import hash_fraction
-from patronage.session import small_side
-
-_BUCKETS = 1 << 16
 
 
 def random_split(df: DataFrame, fraction: float, seed: int = 42, key: str = "customer_id") -> tuple[DataFrame, DataFrame]:
@@ -39,11 +37,14 @@ def exact_split_flag(
 
     Ordering a stratum would put it in one task. Instead rows are counted per stratum and
     hash bucket; a bucket lies wholly before or after the cut, save one bucket per
-    stratum, and only that one, 1/65536 of the rows, is ordered.
+    stratum, and only that one is ordered. There are as many buckets as the square root of
+    the rows, so neither the buckets of a stratum nor the rows of a bucket fill a task. One
+    job counts the rows.
     """
+    buckets = math.isqrt(df.count()) + 1
     stratum = F.col(strata) if strata else F.lit(0)
     base = df.withColumns({"_stratum": stratum, "_hash": hash_fraction(key, seed)}).withColumn(
-        "_bucket", F.floor(F.col("_hash") * _BUCKETS).cast("int")
+        "_bucket", F.floor(F.col("_hash") * buckets).cast("bigint")
     )
     per_bucket = base.groupBy("_stratum", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     in_order = Window.partitionBy("_stratum").orderBy("_bucket")
@@ -62,7 +63,7 @@ def exact_split_flag(
         F.col("_bucket").alias("_edge"),
         (F.col("_wanted") - F.col("_before")).alias("_left"),
     )
-    joined = base.join(small_side(edge), F.col("_stratum").eqNullSafe(F.col("_s")), "left")
+    joined = base.join(edge, F.col("_stratum").eqNullSafe(F.col("_s")), "left")
     on_edge = F.coalesce(F.col("_bucket") == F.col("_edge"), F.lit(False))
     decided = joined.filter(~on_edge).withColumn(
         "in_first", F.coalesce(F.col("_bucket") < F.col("_edge"), F.lit(False))

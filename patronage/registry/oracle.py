@@ -25,6 +25,11 @@ def pick(source: str, i: str = "", f: str = "", s: str = "", b: str = "") -> str
     return f"select {', '.join(columns)} from {source}"
 
 
+def _files(tables: str) -> str:
+    """Rows of each table under its file's name."""
+    return " union all ".join(f"select '{t}.parquet' as file, count(*) as rows from {t}" for t in tables.split())
+
+
 def ratio0(num: str, den: str) -> str:
     return f"case when {den} > 0 then cast({num} as double) / cast({den} as double) else 0.0 end"
 
@@ -786,6 +791,13 @@ ORACLES: dict[str, str] = {
     "s7_parquet_round_trip": pick("txn_ok", **_TXN),
     "s8_snapshots": "select customer_id, rfm_segment, '20010802_120000' as run_ts from rfm",
     "s9_report_sink": _forecast(),
+    "s10_file_manifest": _files("region nation customer supplier part orders lineitem events"),
+    "s11_latest_by_suffix": """select o_orderpriority, count(*) filter (where o_orderkey % 2 = 1) as orders
+        from orders group by o_orderpriority""",
+    "s13_changed_files": """select event_id, round(value * 1000000) / 1000000 as value from events
+        where event_type = 'click'""",
+    "s14_suffix_listing": _files("orders events"),
+    "s15_timeline_info": _files("region nation customer supplier part orders lineitem events"),
     "s12_recent_orders": pick(f"txn_ok where order_date >= {AS_OF} - 90", **_TXN),
     # projections, filters, predicates
     "p1_clean_customers": pick("cust_ok", **_CUST),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ from patronage.plans import reports, unify
 from patronage.plans.batch import metrics_table
 from patronage.registry.publish import publish
 from patronage.registry.warehouse import AS_OF, Warehouse
+from patronage.session import cut_lineage
 from patronage.sources import manifest, tables
 from patronage.sources.schemas import DEFAULTS, DOMAINS, PRIMARY_KEYS, REQUIRED
 
@@ -96,25 +98,53 @@ def _(w):
     return w.spark.read.schema("section string, key string, value double").json(path)
 
 
-query("s10_file_manifest")(lambda w: manifest.file_manifest(w.spark, w.sf_dir))
-query("s11_latest_by_suffix")(
-    lambda w: manifest.latest_by_suffix(manifest.file_manifest(w.spark, w.sf_dir), [".parquet", "s.parquet", ".csv"])
-)
+STAR = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
+def rows_by_file(w: Warehouse, listing: DataFrame) -> DataFrame:
+    """Name and number of rows of each listed Parquet file of the star tables."""
+    name = F.regexp_extract("path", r"/(\w+\.parquet)(/|$)", 1).alias("file")
+    counts = [
+        w.spark.read.parquet(f"{w.sf_dir}/{t}.parquet").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(f"{t}.parquet").alias("file"), "rows")
+        for t in STAR
+    ]
+    return reduce(DataFrame.unionAll, counts).join(listing.select(name), "file", "left_semi")
+
+
+query("s10_file_manifest")(lambda w: rows_by_file(w, manifest.file_manifest(w.spark, w.sf_dir)))
+
+
+@query("s11_latest_by_suffix")
+def _(w):
+    """The newer of two written summaries."""
+    base = w.scratch("orders")
+    orders = w.spark.read.parquet(f"{w.sf_dir}/orders.parquet").groupBy("o_orderpriority")
+    for label, part in (("first", 0), ("second", 1)):
+        orders.agg(F.count_if(F.col("o_orderkey") % 2 == part).alias("orders")).coalesce(1).write.parquet(f"{base}/{label}")
+    latest = manifest.latest_by_suffix(manifest.file_manifest(w.spark, base), [".parquet", ".csv"])
+    return w.spark.read.schema("o_orderpriority string, orders long").parquet(*[r["path"] for r in latest.collect()])
+
+
 query("s12_recent_orders")(lambda w: manifest.recent(w.transactions, "order_date", 3, AS_OF))
 
 
 @query("s13_changed_files")
 def _(w):
-    listing = manifest.file_manifest(w.spark, w.sf_dir)
-    grown = F.col("path").endswith("orders.parquet")
-    cached = listing.filter(~F.col("path").endswith("events.parquet")).withColumn(
-        "length", F.when(grown, F.col("length") - 1).otherwise(F.col("length"))
-    )
-    return manifest.changed_files(listing, cached)
+    base = w.scratch("events")
+    events = w.spark.read.parquet(f"{w.sf_dir}/events.parquet").select("event_id", "event_type", "value")
+    events.write.partitionBy("event_type").parquet(base)
+    cached = cut_lineage(manifest.file_manifest(w.spark, base))
+    events.where("event_type = 'click'").select("event_id", "value").write.mode("append").parquet(f"{base}/event_type=click")
+    changed = manifest.changed_files(manifest.file_manifest(w.spark, base), cached)
+    return w.spark.read.schema("event_id long, value double").parquet(*[r["path"] for r in changed.collect()])
 
 
-query("s14_suffix_listing")(lambda w: manifest.file_manifest(w.spark, w.sf_dir, ["s.parquet", ".csv"]))
-query("s15_timeline_info")(lambda w: manifest.timeline_info(manifest.file_manifest(w.spark, w.sf_dir)))
+query("s14_suffix_listing")(lambda w: rows_by_file(w, manifest.file_manifest(w.spark, w.sf_dir, ["s.parquet", ".csv"])))
+query("s15_timeline_info")(
+    lambda w: rows_by_file(
+        w, manifest.timeline_info(manifest.file_manifest(w.spark, w.sf_dir)).withColumnRenamed("file", "path").where("size > 0")
+    )
+)
 
 
 @query("s16_model_store")

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+#: Checkpoint folders written inside the innermost :func:`released` block.
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
 def build_session(app_name: str = "patronage", master: str | None = None, **conf: str) -> SparkSession:
@@ -18,6 +24,8 @@ def build_session(app_name: str = "patronage", master: str | None = None, **conf
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         # split a hot key's join partition even where that costs another shuffle
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        # a checkpoint that no table refers to any more is deleted
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
@@ -27,14 +35,15 @@ def build_session(app_name: str = "patronage", master: str | None = None, **conf
 
 
 def prepare_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; make one up only on a local master."""
+    """Use the shared folder the cluster names; make one up only where all tasks run in the
+    driver's own process."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     configured = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if configured:
         context.setCheckpointDir(configured)
-    elif context.master.startswith("local"):
+    elif re.fullmatch(r"local(\[[^]]*\])?", context.master):
         context.setCheckpointDir(tempfile.mkdtemp(prefix="patronage-checkpoint-"))
     else:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
@@ -43,11 +52,25 @@ def prepare_checkpoint_dir(spark: SparkSession) -> None:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: the rows survive the loss of the executors that made them."""
     prepare_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    stored = df.checkpoint(eager=True)
+    written = _written.get()
+    if written is not None:
+        folder = stored._jdf.queryExecution().logical().rdd().getCheckpointFile()
+        if folder.isDefined():
+            written.append(folder.get())
+    return stored
 
 
-def small_side(df: DataFrame, limit: int = 100_000) -> DataFrame:
-    """A join side stored once and counted: marked for broadcast up to ``limit`` rows, and
-    left to the planner's shuffle joins beyond."""
-    stored = cut_lineage(df)
-    return F.broadcast(stored) if stored.limit(limit + 1).count() <= limit else stored
+@contextmanager
+def released(spark: SparkSession) -> Iterator[None]:
+    """Delete the checkpoints that are written in the block when it ends. For jobs that write
+    their results: a table that is still to be read must not leave the block."""
+    token = _written.set([])
+    try:
+        yield
+    finally:
+        folders = _written.get()
+        _written.reset(token)
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

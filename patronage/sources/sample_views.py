@@ -82,6 +82,7 @@ VIEWS: dict[str, str] = {
                {_CENTS.format('l_extendedprice / 10')} as total_price,
                l_extendedprice / 1000 / l_quantity as unit_price
         from {{lineitem}} join {{part}} on l_partkey = p_partkey""",
+    # a second campaign for one supplier in 25, to which no line refers: its totals are NULL
     "campaigns": """
         select 'CAMP_' || lpad(cast(s_suppkey as string), 6, '0') as campaign_id,
                s_name as campaign_name,
@@ -97,8 +98,9 @@ VIEWS: dict[str, str] = {
                date '2001-01-01' + cast(s_suppkey % 100 + s_suppkey * 7 % 120 - 3 as int) as end_date,
                cast(s_acctbal as decimal(12,2)) as budget,
                case when s_suppkey % 5 < 3 then 'Active' when s_suppkey % 5 = 3 then 'Paused' else 'Completed' end as status
-        from {supplier}""",
-    # one campaign in 25 is specified to have no rows, to exercise NULL totals
+        from (select s_suppkey, s_name, s_nationkey, s_acctbal from {supplier}
+              union all
+              select s_suppkey + 900000, s_name, s_nationkey, s_acctbal from {supplier} where s_suppkey % 25 = 24) s""",
     "campaign_performance": f"""
         select {_LINE_ID} as performance_id,
                'CAMP_' || lpad(cast(l_suppkey as string), 6, '0') as campaign_id,
@@ -107,7 +109,7 @@ VIEWS: dict[str, str] = {
                cast(l_quantity as int) * (1 + l_linenumber) as clicks,
                l_linenumber as conversions,
                {_CENTS.format('l_extendedprice * (1 - l_discount) / 40')} as revenue
-        from {{lineitem}} where l_suppkey % 25 <> 24""",
+        from {{lineitem}}""",
     "ab_tests": """
         select 'ABT_' || lpad(cast(p_partkey as string), 6, '0') as test_id,
                p_name as test_name,

@@ -23,7 +23,7 @@ def test_all_tables_are_written(derived):
     assert len(made) == 21
     sizes = {name: df.count() for name, df in made.items()}
     assert sizes["customer_rfm_data"] == sizes["unified_customer_dataset"] == 1427
-    assert sizes["transactions_clean"] == 14353 and sizes["campaign_performance_data"] == 92
+    assert sizes["transactions_clean"] == 14353 and sizes["campaign_performance_data"] == 96
     assert sizes["training_customer_dataset"] + sizes["recent_customer_dataset"] == 1427
 
 

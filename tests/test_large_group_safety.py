@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from patronage.operators import quantiles, ranking, splits
-from patronage.session import small_side
+from patronage.session import cut_lineage, released
 
 
 @pytest.fixture(scope="module")
@@ -21,11 +21,12 @@ def skewed(spark):
     return pdf, spark.createDataFrame(pdf).repartition(6)
 
 
-@pytest.mark.parametrize("small_rows", [10, 100, 1_000_000])
-def test_exact_quantiles(skewed, small_rows):
+@pytest.mark.parametrize("pick_rows", [10, 100, 1_000_000])
+def test_exact_quantiles(skewed, pick_rows):
     pdf, df = skewed
     probs = [0.0, 0.1, 0.25, 1 / 3, 0.5, 0.6, 0.8, 0.99, 1.0]
-    got = quantiles.exact_quantiles(df, ["v", "w"], probs, small_rows)
+    got = quantiles.exact_quantiles(df, ["v", "w"], probs, pick_rows)
+    assert got == quantiles.exact_quantiles(df, ["v", "w"], probs, 50)
     for c in ("v", "w"):
         np.testing.assert_allclose(got[c], np.quantile(pdf[c], probs), rtol=1e-12)
 
@@ -78,10 +79,28 @@ def test_random_split_is_a_partition(skewed):
     assert abs(a.count() / len(pdf) - 0.7) < 0.05
 
 
-def test_small_side_is_marked_only_when_small(spark):
-    big = spark.range(1000).withColumnRenamed("id", "k")
-    assert "hint" in small_side(big)._jdf.queryExecution().logical().toString().lower()
-    assert "hint" not in small_side(big, limit=10)._jdf.queryExecution().logical().toString().lower()
+def test_checkpoints_of_a_released_block_are_deleted(spark):
+    import os
+
+    with released(spark):
+        kept = cut_lineage(spark.range(10))
+        folder = kept._jdf.queryExecution().logical().rdd().getCheckpointFile().get().removeprefix("file:")
+        assert os.path.isdir(folder) and kept.count() == 10
+    assert not os.path.exists(folder)
+    assert cut_lineage(spark.range(3)).count() == 3
+
+
+def test_any_number_of_rule_segments(spark):
+    from datetime import date
+
+    from patronage.operators import rules
+
+    customers = spark.createDataFrame([("a", 5.0), ("b", 1200.0)], "customer_id string, spent double")
+    rows = [(f"s{i:04d}", "", "", f'{{"spent": ">{i}"}}') for i in range(1203)]
+    segments = spark.createDataFrame(rows, "segment_id string, segment_name string, segment_description string, criteria string")
+    found = rules.assign_rule_segments(customers, segments, date(2001, 8, 2))
+    assert sorted(tuple(r) for r in found.groupBy("customer_id").count().collect()) == [("a", 5), ("b", 1200)]
+    assert rules.assign_rule_segments(customers, segments.limit(0), date(2001, 8, 2)).count() == 0
 
 
 def test_timeline_split_counts(warehouse):
