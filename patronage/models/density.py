@@ -6,12 +6,14 @@ within ``eps`` of each other share a cluster; all other points, and clusters bel
 ``min_cluster_size``, are noise (-1). It is the cut of the HDBSCAN hierarchy at a fixed
 ``eps``; HDBSCAN's stability selection is not done.
 
-Points are put on a grid whose cells have a diagonal of ``eps``, so all points of a cell
-are neighbours. A cell with ``min_samples`` points or more consists of core points and is
-one node, however many points it has: its points are never paired with each other. Points
-of other cells are fewer than ``min_samples`` per cell, so comparing them with the points
-of their neighbour cells costs a constant per point. Whether two full cells touch is
-decided by boxes that are split only while the answer is open. Nothing is sampled or cut.
+Points at one position are one weighted position from the start, however many they are.
+Positions are put on a grid over all axes whose cells have a diagonal of ``eps``, so all
+points of a cell are neighbours. A cell with ``min_samples`` points or more consists of core
+points and is one node: its points are never paired with each other. Positions of other cells
+are fewer than ``min_samples`` per cell and are compared with the positions of neighbour
+cells. Whether two full cells touch is decided by boxes that are split only while the answer
+is open. Neighbour cells are found through blocks of cells on the three most spread axes and
+told apart on all of them, for any number of axes. Nothing is sampled, cut or projected away.
 """
 
 from __future__ import annotations
@@ -19,9 +21,8 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,63 +30,61 @@ from pyspark.sql import functions as F
 from patronage.operators.ranking import global_row_number
 from patronage.session import cut_lineage
 
-MAX_AXES = 3
-AXES = range(MAX_AXES)
+BLOCK_AXES = 3
 
 
-def _cols(prefix: str) -> list[str]:
-    return [f"{prefix}{i}" for i in AXES]
+def _cols(prefix: str, dims: int) -> list[str]:
+    return [f"{prefix}{i}" for i in range(dims)]
 
 
-def scaled_axes(df: DataFrame, features: Sequence[str], key: str, axes: int = MAX_AXES) -> DataFrame:
-    """key and coordinates x0..x2 of the standardised features; more than ``axes`` features
-    are projected onto as many principal components."""
+def scaled_axes(df: DataFrame, features: Sequence[str], key: str) -> DataFrame:
+    """key and coordinates x0, x1, ... of the standardised features; absent values count as 0."""
     filled = df.select(key, *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in features])
     raw = VectorAssembler(inputCols=list(features), outputCol="raw").transform(filled)
     scaled = StandardScaler(inputCol="raw", outputCol="scaled", withMean=True, withStd=True).fit(raw).transform(raw)
-    used, column = len(features), "scaled"
-    if used > axes:
-        scaled = PCA(k=axes, inputCol="scaled", outputCol="reduced").fit(scaled).transform(scaled)
-        used, column = axes, "reduced"
-    values = vector_to_array(column)
-    return scaled.select(
-        key, *[(values[i] if i < used else F.lit(0.0)).alias(f"x{i}") for i in AXES]
-    )
+    values = vector_to_array("scaled")
+    return scaled.select(key, *[values[i].alias(f"x{i}") for i in range(len(features))])
+
+
+def _sum_of_squares(parts: Column) -> Column:
+    return F.aggregate(parts, F.lit(0.0), lambda total, part: total + part * part)
 
 
-def _squared(parts: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a + b, [p * p for p in parts])
+def _less(left: Column | str, right: Column | str) -> Column:
+    return F.zip_with(left, right, lambda p, q: p - q)
 
 
 def _close(a: str, b: str, eps: float) -> Column:
-    return _squared([F.col(f"{a}{i}") - F.col(f"{b}{i}") for i in AXES]) <= eps * eps
+    return _sum_of_squares(_less(a, b)) <= eps * eps
 
 
-def _offsets(dims: int) -> list[tuple[int, ...]]:
-    """Neighbour cells that can hold a point within one cell diagonal."""
-    reach = math.ceil(math.sqrt(dims))
-    steps = [range(-reach, reach + 1) if i < dims else (0,) for i in AXES]
-    return [
-        o
-        for o in itertools.product(*steps)
-        if any(o) and sum(max(abs(v) - 1, 0) ** 2 for v in o) <= dims
-    ]
+def _packed(prefix: str, dims: int, name: str) -> Column:
+    """Columns of one kind as an array: plans then name one column, not one per axis."""
+    return F.array(*_cols(prefix, dims)).alias(name)
 
 
 def _neighbour_pairs(cells: DataFrame, dims: int) -> DataFrame:
-    """(cell, other) for occupied neighbour cells, both directions."""
-    offsets = F.array(*[F.array(*[F.lit(v) for v in o]) for o in _offsets(dims)])
-    moved = cells.select(*_cols("c"), "cell", F.explode(offsets).alias("o")).select(
-        "cell", *[(F.col(f"c{i}") + F.col("o")[i]).alias(f"c{i}") for i in AXES]
+    """(cell, other) for occupied cells that can hold points within one cell diagonal, both
+    directions. Cells meet in blocks as wide as neighbours can be apart."""
+    spread = cells.agg(*[F.approx_count_distinct(c).alias(c) for c in _cols("c", dims)]).first()
+    axes = sorted(range(dims), key=lambda i: (-spread[f"c{i}"], i))[:BLOCK_AXES]
+    reach = math.ceil(math.sqrt(dims))
+    blocks = {i: F.floor(F.col(f"c{i}") / reach).cast("bigint").alias(f"k{i}") for i in axes}
+    steps = F.array(*[F.array(*map(F.lit, o)) for o in itertools.product((-1, 0, 1), repeat=len(axes))])
+    here = cells.select("cell", _packed("c", dims, "mine"), *blocks.values(), F.explode(steps).alias("step")).select(
+        "cell", "mine", *[(F.col(f"k{i}") + F.col("step")[n]).alias(f"k{i}") for n, i in enumerate(axes)]
     )
-    return moved.join(cells.select(*_cols("c"), F.col("cell").alias("other")), _cols("c")).select("cell", "other")
+    there = cells.select(F.col("cell").alias("other"), _packed("c", dims, "its"), *blocks.values())
+    gaps = F.transform(_less("mine", "its"), lambda d: F.greatest(F.abs(d) - 1, F.lit(0)).cast("double"))
+    met = here.join(there, [f"k{i}" for i in axes])
+    return met.filter((F.col("cell") != F.col("other")) & (_sum_of_squares(gaps) <= dims)).select("cell", "other")
 
 
-def _renamed(points: DataFrame, cell: str, prefix: str, *more: str) -> DataFrame:
-    return points.select(F.col("cell").alias(cell), *[F.col(f"x{i}").alias(f"{prefix}{i}") for i in AXES], *more)
+def _renamed(points: DataFrame, cell: str, name: str, dims: int, *more: str) -> DataFrame:
+    return points.select(F.col("cell").alias(cell), _packed("x", dims, name), *more)
 
 
-def _touching_full_cells(points: DataFrame, pairs: DataFrame, side: float, eps: float) -> DataFrame:
+def _touching_full_cells(points: DataFrame, pairs: DataFrame, side: float, eps: float, dims: int) -> DataFrame:
     """The (cell, other) pairs of full cells that hold a pair of points within ``eps``.
 
     Each cell is split into boxes that are shrunk to the points they hold. A pair of
@@ -100,39 +99,35 @@ def _touching_full_cells(points: DataFrame, pairs: DataFrame, side: float, eps:
         step = side / (1 << level)
         placed = points.select(
             "cell",
-            *_cols("x"),
-            *[F.floor(F.col(f"x{i}") / step).cast("bigint").alias(f"b{i}") for i in AXES],
+            *_cols("x", dims),
+            *[F.floor(F.col(f"x{i}") / step).cast("bigint").alias(f"b{i}") for i in range(dims)],
         )
         if open_boxes is not None:
-            parents = [F.floor(F.col(f"x{i}") / (step * 2)).cast("bigint").alias(f"p{i}") for i in AXES]
+            parents = [F.floor(F.col(f"x{i}") / (step * 2)).cast("bigint").alias(f"p{i}") for i in range(dims)]
             placed = placed.select("*", *parents).join(
-                _box_list(open_boxes), ["cell", *_cols("p")], "left_semi"
+                _box_list(open_boxes, dims), ["cell", *_cols("p", dims)], "left_semi"
             )
-        boxes = placed.groupBy("cell", *_cols("b"), *(_cols("p") if open_boxes is not None else [])).agg(
-            *[F.min(f"x{i}").alias(f"l{i}") for i in AXES], *[F.max(f"x{i}").alias(f"h{i}") for i in AXES]
+        boxes = placed.groupBy("cell", *_cols("b", dims), *(_cols("p", dims) if open_boxes is not None else [])).agg(
+            *[F.min(f"x{i}").alias(f"l{i}") for i in range(dims)], *[F.max(f"x{i}").alias(f"h{i}") for i in range(dims)]
         )
         boxes = cut_lineage(boxes)
         if open_boxes is None:
-            candidates = pairs.join(boxes.select("cell", *_side("a")), "cell").join(
-                boxes.select(F.col("cell").alias("other"), *_side("z")), "other"
+            candidates = pairs.join(boxes.select("cell", *_side("a", dims)), "cell").join(
+                boxes.select(F.col("cell").alias("other"), *_side("z", dims)), "other"
             )
         else:
             candidates = open_boxes.join(
-                boxes.select("cell", *[F.col(f"p{i}").alias(f"ap{i}") for i in AXES], *_side("a")),
-                ["cell", *_cols("ap")],
+                boxes.select("cell", *[F.col(f"p{i}").alias(f"ap{i}") for i in range(dims)], *_side("a", dims)),
+                ["cell", *_cols("ap", dims)],
             ).join(
                 boxes.select(
-                    F.col("cell").alias("other"), *[F.col(f"p{i}").alias(f"zp{i}") for i in AXES], *_side("z")
+                    F.col("cell").alias("other"), *[F.col(f"p{i}").alias(f"zp{i}") for i in range(dims)], *_side("z", dims)
                 ),
-                ["other", *_cols("zp")],
+                ["other", *_cols("zp", dims)],
             )
-        zero = F.lit(0.0)
-        near = _squared(
-            [F.greatest(zero, F.col(f"al{i}") - F.col(f"zh{i}"), F.col(f"zl{i}") - F.col(f"ah{i}")) for i in AXES]
-        )
-        far = _squared(
-            [F.greatest(F.col(f"ah{i}") - F.col(f"zl{i}"), F.col(f"zh{i}") - F.col(f"al{i}")) for i in AXES]
-        )
+        apart, beyond = _less("al", "zh"), _less("zl", "ah")
+        near = _sum_of_squares(F.zip_with(apart, beyond, lambda p, q: F.greatest(p, q, F.lit(0.0))))
+        far = _sum_of_squares(F.zip_with(_less("ah", "zl"), _less("zh", "al"), lambda p, q: F.greatest(p, q)))
         judged = cut_lineage(
             candidates.withColumns({"near": near, "far": far}).filter(F.col("near") <= eps * eps)
         )
@@ -145,8 +140,8 @@ def _touching_full_cells(points: DataFrame, pairs: DataFrame, side: float, eps:
             .select(
                 "cell",
                 "other",
-                *[F.col(f"ab{i}").alias(f"ap{i}") for i in AXES],
-                *[F.col(f"zb{i}").alias(f"zp{i}") for i in AXES],
+                *[F.col(f"ab{i}").alias(f"ap{i}") for i in range(dims)],
+                *[F.col(f"zb{i}").alias(f"zp{i}") for i in range(dims)],
             )
         )
         if open_boxes.isEmpty():
@@ -154,13 +149,15 @@ def _touching_full_cells(points: DataFrame, pairs: DataFrame, side: float, eps:
         level += 1
 
 
-def _side(prefix: str) -> list[Column]:
-    return [F.col(f"{kind}{i}").alias(f"{prefix}{kind}{i}") for kind in ("l", "h", "b") for i in AXES]
+def _side(prefix: str, dims: int) -> list[Column]:
+    """Corners as arrays, and the box's place."""
+    corners = [_packed(kind, dims, f"{prefix}{kind}") for kind in ("l", "h")]
+    return [*corners, *[F.col(f"b{i}").alias(f"{prefix}b{i}") for i in range(dims)]]
 
 
-def _box_list(open_boxes: DataFrame) -> DataFrame:
-    first = open_boxes.select("cell", *[F.col(f"ap{i}").alias(f"p{i}") for i in AXES])
-    second = open_boxes.select(F.col("other").alias("cell"), *[F.col(f"zp{i}").alias(f"p{i}") for i in AXES])
+def _box_list(open_boxes: DataFrame, dims: int) -> DataFrame:
+    first = open_boxes.select("cell", *[F.col(f"ap{i}").alias(f"p{i}") for i in range(dims)])
+    second = open_boxes.select(F.col("other").alias("cell"), *[F.col(f"zp{i}").alias(f"p{i}") for i in range(dims)])
     return first.union(second).distinct()
 
 
@@ -198,40 +195,41 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 def density_clusters(
     points: DataFrame, key: str, dims: int, eps: float, min_samples: int, min_cluster_size: int
 ) -> DataFrame:
-    """(key, segment) for points with coordinates x0..x2, of which ``dims`` are used.
-    Clusters are numbered from 0 in the order of their smallest key."""
+    """(key, segment) for points with ``dims`` coordinates x0, x1, ... Clusters are numbered
+    from 0 in the order of their smallest key."""
     side = eps / math.sqrt(dims)
-    cell_of = [F.floor(F.col(f"x{i}") / side).cast("bigint").alias(f"c{i}") for i in AXES]
-    placed = points.select(F.col(key).alias("id"), *_cols("x"), *cell_of).withColumn(
-        "cell", F.concat_ws("_", *_cols("c"))
-    )
+    axes = _cols("x", dims)
+    cell_of = [F.floor(F.col(f"x{i}") / side).cast("bigint").alias(f"c{i}") for i in range(dims)]
+    # a position is named by the smallest key there
+    placed = points.groupBy(*axes).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("id"))
+    placed = placed.select("id", "n", *axes, *cell_of).withColumn("cell", F.concat_ws("_", *_cols("c", dims)))
     placed = cut_lineage(placed)
     cells = cut_lineage(
-        placed.groupBy(*_cols("c"), "cell")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("full", F.col("n") >= min_samples)
+        placed.groupBy(*_cols("c", dims), "cell")
+        .agg(F.sum("n").alias("total"))
+        .withColumn("full", F.col("total") >= min_samples)
     )
     pairs = cut_lineage(_neighbour_pairs(cells, dims))
     full = cells.filter("full").select("cell")
 
     # Points of cells that are not full: neighbours in other cells, plus their own cell's
-    loose = placed.join(cells.filter("not full").select("cell", "n"), "cell")
-    against = loose.select("id", "n", "cell", *[F.col(f"x{i}").alias(f"a{i}") for i in AXES]).join(pairs, "cell")
-    met = against.join(_renamed(placed, "other", "z"), "other").filter(_close("a", "z", eps))
-    counted = met.groupBy("id").agg(F.count(F.lit(1)).alias("others"))
+    loose = placed.join(cells.filter("not full").select("cell", "total"), "cell")
+    against = _renamed(loose, "cell", "a", dims, "id").join(pairs, "cell")
+    met = against.join(_renamed(placed, "other", "z", dims, "n"), "other").filter(_close("a", "z", eps))
+    counted = met.groupBy("id").agg(F.sum("n").alias("others"))
     loose_core = cut_lineage(
         loose.join(counted, "id", "left")
-        .filter(F.col("n") + F.coalesce("others", F.lit(0)) >= min_samples)
-        .select("id", "cell", *_cols("x"))
+        .filter(F.col("total") + F.coalesce("others", F.lit(0)) >= min_samples)
+        .select("id", "n", "cell", *axes)
     )
 
     # Core cells are nodes; they are linked where core points of two cells are neighbours
-    core_of_full = placed.join(full, "cell", "left_semi").select("id", "cell", *_cols("x"))
+    core_of_full = placed.join(full, "cell", "left_semi").select("id", "n", "cell", *axes)
     core = loose_core.unionByName(core_of_full)
     loose_links = (
-        _renamed(loose_core, "cell", "a")
+        _renamed(loose_core, "cell", "a", dims)
         .join(pairs, "cell")
-        .join(_renamed(core, "other", "z"), "other")
+        .join(_renamed(core, "other", "z", dims), "other")
         .filter(_close("a", "z", eps))
         .select(F.col("cell").alias("u"), F.col("other").alias("v"))
         .distinct()
@@ -242,24 +240,24 @@ def density_clusters(
         .join(full.select(F.col("cell").alias("other")), "other", "left_semi")
         .select("cell", "other")
     )
-    full_links = _touching_full_cells(core_of_full, full_pairs, side, eps).select(
+    full_links = _touching_full_cells(core_of_full, full_pairs, side, eps, dims).select(
         F.col("cell").alias("u"), F.col("other").alias("v")
     )
     nodes = core.select(F.col("cell").alias("node")).distinct()
     roots = connected_components(nodes, loose_links.unionByName(full_links))
 
-    member = core.join(roots, F.col("cell") == F.col("node")).select("id", "root")
+    member = core.join(roots, F.col("cell") == F.col("node")).select("id", "n", "root")
     clusters = (
         member.groupBy("root")
-        .agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("first_id"))
+        .agg(F.sum("n").alias("size"), F.min("id").alias("first_id"))
         .filter(F.col("size") >= min_cluster_size)
     )
     numbered = global_row_number(clusters, [F.asc("first_id")], "number").select(
         "root", (F.col("number") - 1).cast("int").alias("segment")
     )
-    labelled = member.join(numbered, "root").select("id", "segment")
-    return placed.select("id").join(labelled, "id", "left").select(
-        F.col("id").alias(key), F.coalesce("segment", F.lit(-1)).alias("segment")
+    labelled = placed.select("id", *axes).join(member.join(numbered, "root").select("id", "segment"), "id")
+    return points.select(key, *axes).join(labelled.drop("id"), axes, "left").select(
+        key, F.coalesce("segment", F.lit(-1)).alias("segment")
     )
 
 
@@ -271,7 +269,7 @@ def density_segments(
     min_cluster_size: int = 50,
     key: str = "customer_id",
 ) -> DataFrame:
-    """Density segments of standardised features. Up to three features are clustered as
-    they are; more are first reduced to their three principal components."""
-    dims = min(len(features), MAX_AXES)
-    return density_clusters(scaled_axes(df, features, key), key, dims, eps, min_samples, min_cluster_size)
+    """Density segments of standardised features, all of which count."""
+    return density_clusters(
+        scaled_axes(df, features, key), key, len(features), eps, min_samples, min_cluster_size
+    )

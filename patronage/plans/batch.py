@@ -7,8 +7,10 @@ from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from patronage.functions.constants import SEGMENTATION_FEATURES
 from patronage.models import scoring, store, training
 from patronage.plans import reports
+from patronage.session import released
 from patronage.sources.tables import write_csv, write_report, write_snapshot
 
 # Model name to (family, name in the score tables)
@@ -34,16 +36,24 @@ def metrics_table(spark: SparkSession, fitted: Mapping[str, object]) -> DataFram
     return spark.createDataFrame(rows, "model string, metric string, value double")
 
 
+def _stored_report(report: DataFrame, folder: str, run_ts: datetime) -> DataFrame:
+    """Keep a report under its run's label and read it back."""
+    path = f"{folder}/run_ts={run_ts:%Y%m%d_%H%M%S}"
+    write_report(report, path)
+    return report.sparkSession.read.schema(report.schema).json(path)
+
+
 def run_training(spark: SparkSession, train: DataFrame, as_of: date, base: str, run_ts: datetime, **options) -> DataFrame:
-    """Fit and store every model with its feature list; returns and stores the training report."""
-    fitted = training.train_all(train, as_of, **options)
-    for name, model in fitted.items():
-        family, label = FAMILIES[name]
-        store.save_model(spark, model, base, family, label, run_ts)
-        write_csv(store.feature_list(spark, model), f"{base}/{family}/{label}/features")
-    report = reports.training_report(metrics_table(spark, fitted))
-    write_report(report, f"{base}/training_report")
-    return report
+    """Fit and store every model with its feature list; returns the training report, stored
+    under the run label. Checkpoints of the run are deleted."""
+    with released(spark):
+        fitted = training.train_all(train, as_of, **options)
+        for name, model in fitted.items():
+            family, label = FAMILIES[name]
+            store.save_model(spark, model, base, family, label, run_ts)
+            write_csv(store.feature_list(spark, model), f"{base}/{family}/{label}/features")
+        report = reports.training_report(metrics_table(spark, fitted))
+        return _stored_report(report, f"{base}/training_report", run_ts)
 
 
 def report_of(family: str, model: str, scores: DataFrame) -> DataFrame:
@@ -63,18 +73,17 @@ def run_scoring(
     models: str,
     base: str,
     run_ts: datetime,
-    density_features: Sequence[str] = ("recency_days", "frequency", "monetary_value"),
+    density_features: Sequence[str] = tuple(SEGMENTATION_FEATURES),
 ) -> DataFrame:
     """Score with the newest stored models, keep score tables and reports under the run
-    label, and return the master report."""
-    loaded = {name: store.load_latest_model(spark, models, *label) for name, label in FAMILIES.items()}
-    score_tables = scoring.score_all(loaded, recent, as_of, density_features)
-    kept = {}
-    for (family, model), scores in score_tables.items():
-        folder = f"{base}/{family}/{model}"
-        write_snapshot(scores, f"{folder}/scores", run_ts)
-        kept[family, model] = spark.read.parquet(f"{folder}/scores/run_ts={run_ts:%Y%m%d_%H%M%S}")
-        write_report(report_of(family, model, kept[family, model]), f"{folder}/report")
-    master = reports.master_report(kept)
-    write_report(master, f"{base}/master_report")
-    return master
+    label, and return the master report. Checkpoints of the run are deleted."""
+    with released(spark):
+        loaded = {name: store.load_latest_model(spark, models, *label) for name, label in FAMILIES.items()}
+        score_tables = scoring.score_all(loaded, recent, as_of, density_features)
+        kept = {}
+        for (family, model), scores in score_tables.items():
+            folder = f"{base}/{family}/{model}"
+            write_snapshot(scores, f"{folder}/scores", run_ts)
+            kept[family, model] = spark.read.parquet(f"{folder}/scores/run_ts={run_ts:%Y%m%d_%H%M%S}")
+            _stored_report(report_of(family, model, kept[family, model]), f"{folder}/report", run_ts)
+        return _stored_report(reports.master_report(kept), f"{base}/master_report", run_ts)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 
+from patronage.functions.constants import SEGMENTATION_FEATURES
 from patronage.sources.sample_views import VIEWS, oracle_text
 
 AS_OF = "date '2001-08-02'"
@@ -741,22 +742,24 @@ _NAMED = """select customer_id, segment as density_segment, case when segment =
             from placed"""
 
 
-def _density(features: list[str], result: str = _LABELLED) -> str:
-    """Brute-force DBSCAN* with eps 0.1, 10 samples, clusters of 50 and more."""
+def _density(features: list[str], result: str = _LABELLED, eps: float = 0.1, size: int = 50) -> str:
+    """Brute-force DBSCAN* with 10 samples."""
     axes = ", ".join(
-        f"(cast({f} as double) - avg(cast({f} as double)) over ()) / stddev_samp(cast({f} as double)) over () as x{i}"
+        "coalesce(({0} - avg({0}) over ()) / nullif(stddev_samp({0}) over (), 0), 0) as x{1}".format(
+            f"coalesce(cast({f} as double), 0)", i
+        )
         for i, f in enumerate(features)
     )
     near = " + ".join(f"(a.x{i} - b.x{i}) ** 2" for i in range(len(features)))
     return f"""/*recursive*/,
         pts as (select customer_id as id, {axes} from uni),
-        nb as materialized (select a.id as a, b.id as b from pts a join pts b on {near} <= 0.1 ** 2),
+        nb as materialized (select a.id as a, b.id as b from pts a join pts b on {near} <= {eps} ** 2),
         core as materialized (select a as id from nb group by a having count(*) >= 10),
         link as materialized (select a, b from nb where a in (select id from core) and b in (select id from core)),
         reach(id, root) as (select id, id from core union select l.b, r.root from reach r join link l on l.a = r.id),
         lab as (select id, min(root) as root from reach group by id),
         big as (select root, row_number() over (order by root) - 1 as segment
-                from lab group by root having count(*) >= 50),
+                from lab group by root having count(*) >= {size}),
         placed as (select pts.id as customer_id, cast(coalesce(big.segment, -1) as bigint) as segment
                    from pts left join lab on lab.id = pts.id left join big on big.root = lab.root)
         {result}"""
@@ -1216,9 +1219,10 @@ ORACLES: dict[str, str] = {
                round(predicted_revenue * 0.8, 6) as confidence_lower, round(predicted_revenue * 1.2, 6) as confidence_upper
         from sc_rev""",
     # models
-    "l2_density_segments": _density(["recency_days", "frequency", "monetary_value"]),
+    "l2_density_segments": _density(SEGMENTATION_FEATURES),
+    "l2_density_wide_radius": _density(SEGMENTATION_FEATURES, eps=2.5, size=10),
     "l2_density_recency_frequency": _density(["recency_days", "frequency"]),
-    "l15_score_density": _density(["recency_days", "frequency"], _NAMED),
+    "l15_score_density": _density(SEGMENTATION_FEATURES, _NAMED, eps=2.5, size=10),
     "l22_score_all": f"""
         with n as (select count(*) as n from uni where registration_date >= {AS_OF} - 90)
         select family, model, count(*) as models_run, cast(sum(n) as bigint) as total_predictions

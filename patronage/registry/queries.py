@@ -35,7 +35,7 @@ from patronage.sources.schemas import DEFAULTS, DOMAINS, PRIMARY_KEYS, REQUIRED
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 RUN_TS = datetime(2001, 8, 2, 12, 0, 0)
-DENSITY_FEATURES = ["recency_days", "frequency", "monetary_value"]
+DENSITY_FEATURES = k.SEGMENTATION_FEATURES
 
 
 def query(name: str):
@@ -635,6 +635,9 @@ def _metrics_of(name: str, history: bool = False):
 query("l1_kmeans")(_metrics_of("kmeans"))
 query("l1_kmeans_history")(_metrics_of("kmeans", history=True))
 query("l2_density_segments")(lambda w: density.density_segments(w.stored, DENSITY_FEATURES))
+query("l2_density_wide_radius")(
+    lambda w: density.density_segments(w.stored, DENSITY_FEATURES, eps=2.5, min_cluster_size=10)
+)
 query("l2_density_recency_frequency")(
     lambda w: density.density_segments(w.stored, ["recency_days", "frequency"], eps=0.1, min_samples=10, min_cluster_size=50)
 )
@@ -688,7 +691,7 @@ query("l14_cross_validation_accuracy")(_cross_validation("label_conversion", for
 
 query("l15_score_segments")(lambda w: scoring.score_segments(w.model("kmeans"), w.infer_part))
 query("l15_score_segments_named")(lambda w: scoring.score_segments_named(w.history_model("kmeans"), w.history_infer))
-query("l15_score_density")(lambda w: scoring.score_density(w.stored, ["recency_days", "frequency"]))
+query("l15_score_density")(lambda w: scoring.score_density(w.stored, DENSITY_FEATURES, eps=2.5, min_cluster_size=10))
 query("l16_score_revenue")(lambda w: scoring.score_revenue(w.model("revenue"), training_inputs(w), AS_OF))
 query("l16_score_revenue_levels")(
     lambda w: scoring.with_levels(

@@ -35,7 +35,7 @@ def brute_density(x, eps, samples, size, ids):
     return label
 
 
-@pytest.mark.parametrize("dims,eps,samples,size", [(1, 0.3, 10, 50), (2, 0.15, 5, 10), (3, 0.3, 10, 20)])
+@pytest.mark.parametrize("dims,eps,samples,size", [(1, 0.3, 10, 50), (2, 0.15, 5, 10), (3, 0.3, 10, 20), (7, 0.6, 8, 15)])
 def test_density_clusters_match_brute_force(spark, dims, eps, samples, size):
     rng = np.random.default_rng(dims)
     x = np.concatenate([
@@ -48,9 +48,8 @@ def test_density_clusters_match_brute_force(spark, dims, eps, samples, size):
             np.c_[rng.uniform(5.16, 5.18, 150), rng.uniform(0, 0.5, 150)],
         ])
     ids = [f"p{i:04d}" for i in range(len(x))]
-    padded = np.zeros((len(x), 3))
-    padded[:, :dims] = x
-    df = spark.createDataFrame([(i, *map(float, r)) for i, r in zip(ids, padded)], "k string, x0 double, x1 double, x2 double")
+    axes = ", ".join(f"x{i} double" for i in range(dims))
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in zip(ids, x)], f"k string, {axes}")
     got = {r["k"]: r["segment"] for r in density.density_clusters(df, "k", dims, eps, samples, size).collect()}
     assert [got[i] for i in ids] == brute_density(x, eps, samples, size, ids).tolist()
 
@@ -63,9 +62,16 @@ def test_connected_components_of_a_long_chain(spark):
     assert roots["z2"] == "z1" and roots["alone"] == "alone"
 
 
-def test_density_segments_reduce_many_features(warehouse):
-    got = density.density_segments(warehouse.stored, k.ORDER_HISTORY_FEATURES[:6], eps=0.3)
-    assert got.count() == 1427 and got.select("customer_id").distinct().count() == 1427
+def test_many_points_at_one_position_are_paired_once(spark):
+    """A third of the rows share a position beside loose points."""
+    rng = np.random.default_rng(9)
+    x = np.concatenate([np.zeros((400, 5)), rng.normal(0, 0.4, (300, 5)), rng.uniform(-2, 2, (300, 5))])
+    ids = [f"p{i:04d}" for i in range(len(x))]
+    axes = ", ".join(f"x{i} double" for i in range(5))
+    df = spark.createDataFrame([(i, *map(float, r)) for i, r in zip(ids, x)], f"k string, {axes}")
+    got = {r["k"]: r["segment"] for r in density.density_clusters(df, "k", 5, 0.5, 12, 20).collect()}
+    assert [got[i] for i in ids] == brute_density(x, 0.5, 12, 20, ids).tolist()
+    assert len(set(got.values())) > 1
 
 
 def test_metrics_by_hand(spark):
