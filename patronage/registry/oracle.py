@@ -765,6 +765,24 @@ def _density(features: list[str], result: str = _LABELLED, eps: float = 0.1, siz
         {result}"""
 
 
+_RECENT = f"uni where registration_date >= {AS_OF} - 90"
+_KMEANS = "silhouette_score calinski_harabasz_score training_cost n_clusters"
+_CLASSIFIER = "accuracy precision recall f1 n_estimators max_depth"
+_REGRESSOR = "mae mse rmse r2 n_estimators max_depth"
+
+
+def _sound(model: str, names: str) -> str:
+    return " union all ".join(f"select '{model}' as model, '{n}' as metric, true as sound" for n in names.split())
+
+
+def _consistent(constants: str = "", source: str = _RECENT) -> str:
+    return f"select customer_id, {constants}{', ' if constants else ''}true as consistent from {source}"
+
+
+def _forecast_constants(confidence: float, period: str) -> str:
+    return f"cast({confidence} as double) as forecast_confidence, '{period}' as forecast_period, cast({AS_OF} as varchar) as forecast_date"
+
+
 ORACLES: dict[str, str] = {
     # sources and sinks
     "s1_relational_scan": pick("transactions", **_TXN),
@@ -1231,6 +1249,38 @@ ORACLES: dict[str, str] = {
                         ('journey_simulation', 'conversion_prediction'), ('campaign_optimization', 'campaign_success'),
                         ('campaign_optimization', 'budget_optimization')) as m(family, model)
         group by rollup (family, model)""",
+    "s16_model_store": f"select count(*) as customers, cast(0 as bigint) as different from {_RECENT}",
+    "l1_kmeans": _sound("kmeans", _KMEANS),
+    "l1_kmeans_history": _sound("kmeans", _KMEANS),
+    "l6_success_classifier": _sound("campaign_success", _CLASSIFIER),
+    "l6_success_classifier_history": _sound("campaign_success", _CLASSIFIER),
+    "l7_budget_regressor": _sound("budget", _REGRESSOR.replace("r2 ", "")),
+    "l7_budget_regressor_history": _sound("budget", _REGRESSOR),
+    "l8_revenue_regressor": _sound("revenue", _REGRESSOR),
+    "l8_revenue_regressor_history": _sound("revenue", _REGRESSOR),
+    "l9_ctr_regressor": _sound("ctr", _REGRESSOR),
+    "l9_ctr_regressor_history": _sound("ctr", _REGRESSOR),
+    "l10_stage_classifier": _sound("journey_stage", _CLASSIFIER),
+    "l10_stage_classifier_history": _sound("journey_stage", _CLASSIFIER),
+    "l11_conversion_regressor": _sound("conversion", _REGRESSOR),
+    "l11_conversion_classifier_history": _sound("conversion", _CLASSIFIER),
+    "l14_cross_validation": "select unnest(['cv_r2_mean', 'cv_r2_std']) as metric, true as sound",
+    "l14_cross_validation_accuracy": "select unnest(['cv_accuracy_mean', 'cv_accuracy_std']) as metric, true as sound",
+    "l15_score_segments": _consistent("cast(1 as double) as kmeans_confidence"),
+    "l15_score_segments_named": _consistent(),
+    "l16_score_revenue": _consistent(_forecast_constants(0.85, "next_month")),
+    "l16_score_revenue_levels": _consistent(_forecast_constants(0.85, "next_month")),
+    "l17_score_ctr": _consistent(_forecast_constants(0.8, "next_campaign")),
+    "l18_score_stage": _consistent(),
+    "l18_score_stage_history": _consistent(),
+    "l19_score_conversion": _consistent("cast(0.85 as double) as conversion_confidence"),
+    "l19_score_conversion_class": _consistent(),
+    "l20_score_success": _consistent(),
+    "l20_score_success_class": _consistent(),
+    "l21_score_budget": _consistent("cast(0.85 as double) as budget_confidence"),
+    "l23_segment_requests": _consistent(
+        f"cast(0.8 as double) as confidence_score, cast({AS_OF} as varchar) as inference_date", "uni"
+    ),
     "l3_silhouette": _SILHOUETTE,
     "l4_calinski_harabasz": """
         select round(((m - (g0 * g0 + g1 * g1) / n) / (k - 1)) / ((q - m) / (n - k)), 6) as calinski_harabasz

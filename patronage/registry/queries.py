@@ -27,6 +27,8 @@ from patronage.operators import (
 )
 from patronage.plans import reports, unify
 from patronage.plans.batch import metrics_table
+from patronage.registry.oracle import BUDGET, CONVERSION, PROBABILITY_COARSE, ROI, STAGE, STAGE_COARSE, SUCCESS
+from patronage.registry.oracle import bins as case_of_bins
 from patronage.registry.publish import publish
 from patronage.registry.warehouse import AS_OF, Warehouse
 from patronage.session import cut_lineage
@@ -38,6 +40,29 @@ RUN_TS = datetime(2001, 8, 2, 12, 0, 0)
 DENSITY_FEATURES = k.SEGMENTATION_FEATURES
 
 
+RATES = ("accuracy", "precision", "recall", "f1")
+
+
+def sound(values: DataFrame) -> DataFrame:
+    """Metric names, and whether each value is one that its metric can have."""
+    v, metric = F.col("value"), F.col("metric")
+    capped = metric.isin(*RATES) | metric.contains("r2") | metric.contains("silhouette") | metric.startswith("cv_")
+    signed = metric.contains("r2") | metric.contains("silhouette")
+    ok = ~F.isnan(v) & (v < float("inf")) & (~capped | (v <= 1)) & (signed | (v >= 0))
+    return values.select(*[c for c in values.columns if c != "value"], F.coalesce(ok, F.lit(False)).alias("sound"))
+
+
+def consistent(scores: DataFrame, keep: str, *conditions: str) -> DataFrame:
+    """Columns that do not depend on the model, and whether a row's other columns agree with
+    its published score."""
+    holds = reduce(lambda a, b: a & b, [F.coalesce(F.expr(c), F.lit(False)) for c in conditions])
+    return scores.select(*keep.split(), holds.alias("consistent"))
+
+
+def in_bins(column: str, category: str, bins: tuple[list, list]) -> str:
+    return f"{category} <=> {case_of_bins(column, *bins)}"
+
+
 def query(name: str):
     def register(build: Callable[[Warehouse], DataFrame]):
         QUERIES[name] = lambda spark, sf_dir: publish(build(Warehouse.of(spark, sf_dir)))
@@ -153,7 +178,12 @@ def _(w):
     for run in (datetime(2001, 7, 1), RUN_TS):
         store.save_model(w.spark, w.model("revenue"), base, "forecasting", "revenue", run)
     loaded = store.load_latest_model(w.spark, base, "forecasting", "revenue")
-    return scoring.score_revenue(loaded, training_inputs(w), AS_OF)
+    again = scoring.score_revenue(loaded, training_inputs(w), AS_OF).select("customer_id", F.col("predicted_revenue").alias("again"))
+    both = scoring.score_revenue(w.model("revenue"), training_inputs(w), AS_OF).join(again, "customer_id", "full")
+    return both.agg(
+        F.count(F.lit(1)).alias("customers"),
+        F.count_if(~F.col("again").eqNullSafe(F.col("predicted_revenue"))).alias("different"),
+    )
 
 
 def training_inputs(w: Warehouse) -> DataFrame:
@@ -629,7 +659,7 @@ query("f32_forecast_band")(
 # ---- models --------------------------------------------------------------------------
 
 def _metrics_of(name: str, history: bool = False):
-    return lambda w: metrics_table(w.spark, {name: w.history_model(name) if history else w.model(name)})
+    return lambda w: sound(metrics_table(w.spark, {name: w.history_model(name) if history else w.model(name)}))
 
 
 query("l1_kmeans")(_metrics_of("kmeans"))
@@ -652,7 +682,8 @@ query("l4_calinski_harabasz")(
 query("l5_cluster_stats")(lambda w: metrics.cluster_stats(w.formula_clusters(), "cluster"))
 query("l6_success_classifier")(_metrics_of("campaign_success"))
 query("l6_success_classifier_history")(_metrics_of("campaign_success", history=True))
-query("l7_budget_regressor")(_metrics_of("budget"))
+# a constant label has no r2
+query("l7_budget_regressor")(lambda w: _metrics_of("budget")(w).filter("metric <> 'r2'"))
 query("l7_budget_regressor_history")(_metrics_of("budget", history=True))
 query("l8_revenue_regressor")(_metrics_of("revenue"))
 query("l8_revenue_regressor_history")(_metrics_of("revenue", history=True))
@@ -680,7 +711,7 @@ def _(w):
 def _cross_validation(target: str, kind: str):
     def build(w: Warehouse) -> DataFrame:
         result = forests.cross_validate(w.history_train, k.ORDER_HISTORY_FEATURES, target, kind)
-        return w.spark.createDataFrame([(name, float(v)) for name, v in result.items()], "metric string, value double")
+        return sound(w.spark.createDataFrame([(name, float(v)) for name, v in result.items()], "metric string, value double"))
 
     return build
 
@@ -689,31 +720,89 @@ query("l14_cross_validation")(_cross_validation("label_budget", forests.REGRESSI
 query("l14_cross_validation_accuracy")(_cross_validation("label_conversion", forests.CLASSIFICATION))
 
 
-query("l15_score_segments")(lambda w: scoring.score_segments(w.model("kmeans"), w.infer_part))
-query("l15_score_segments_named")(lambda w: scoring.score_segments_named(w.history_model("kmeans"), w.history_infer))
+query("l15_score_segments")(
+    lambda w: consistent(
+        scoring.score_segments(w.model("kmeans"), w.infer_part), "customer_id kmeans_confidence",
+        "kmeans_segment between 0 and 4", "kmeans_segment_type = concat('Segment_', kmeans_segment)", "kmeans_segment_size > 0",
+    )
+)
+query("l15_score_segments_named")(
+    lambda w: consistent(
+        scoring.score_segments_named(w.history_model("kmeans"), w.history_infer), "customer_id",
+        "kmeans_segment between 0 and 4", "kmeans_segment_type is not null",
+    )
+)
 query("l15_score_density")(lambda w: scoring.score_density(w.stored, DENSITY_FEATURES, eps=2.5, min_cluster_size=10))
-query("l16_score_revenue")(lambda w: scoring.score_revenue(w.model("revenue"), training_inputs(w), AS_OF))
-query("l16_score_revenue_levels")(
-    lambda w: scoring.with_levels(
-        scoring.score_revenue(w.history_model("revenue"), w.history_infer, AS_OF), "predicted_revenue", "level"
+FORECAST = "customer_id forecast_confidence forecast_period forecast_date"
+
+query("l16_score_revenue")(
+    lambda w: consistent(scoring.score_revenue(w.model("revenue"), training_inputs(w), AS_OF), FORECAST, "predicted_revenue >= 0")
+)
+
+
+@query("l16_score_revenue_levels")
+def _(w):
+    scores = scoring.score_revenue(w.history_model("revenue"), w.history_infer, AS_OF)
+    levels = scoring.with_levels(scores, "predicted_revenue", "level").withColumns(
+        {name: scores.agg(edge("predicted_revenue")).scalar() for name, edge in (("low", F.min), ("high", F.max))}
     )
+    place = "ceil((predicted_revenue - low) / (high - low) * 5)"
+    named = f"level = element_at(array({', '.join(repr(n) for n in k.FIVE_LEVELS)}), cast(greatest({place}, 1) as int))"
+    return consistent(levels, FORECAST, "predicted_revenue >= 0", named)
+
+
+query("l17_score_ctr")(
+    lambda w: consistent(scoring.score_ctr(w.model("ctr"), training_inputs(w), AS_OF), FORECAST, "predicted_ctr >= 0")
 )
-query("l17_score_ctr")(lambda w: scoring.score_ctr(w.model("ctr"), training_inputs(w), AS_OF))
 query("l18_score_stage")(
-    lambda w: scoring.score_stage(w.model("journey_stage"), features.journey_features(w.infer_part, AS_OF))
+    lambda w: consistent(
+        scoring.score_stage(w.model("journey_stage"), features.journey_features(w.infer_part, AS_OF)), "customer_id",
+        "predicted_journey_stage is not null", "stage_confidence between 0 and 1", in_bins("stage_confidence", "stage_category", STAGE),
+    )
 )
 query("l18_score_stage_history")(
-    lambda w: scoring.score_stage(w.history_model("journey_stage"), w.history_infer, k.STAGE_BINS_COARSE)
+    lambda w: consistent(
+        scoring.score_stage(w.history_model("journey_stage"), w.history_infer, k.STAGE_BINS_COARSE), "customer_id",
+        "predicted_journey_stage is not null", "stage_confidence between 0 and 1",
+        in_bins("stage_confidence", "stage_category", STAGE_COARSE),
+    )
 )
 query("l19_score_conversion")(
-    lambda w: scoring.score_conversion(w.model("conversion"), features.journey_features(w.infer_part, AS_OF))
+    lambda w: consistent(
+        scoring.score_conversion(w.model("conversion"), features.journey_features(w.infer_part, AS_OF)),
+        "customer_id conversion_confidence", "predicted_conversion_probability between 0 and 1",
+        "abs(expected_value - 100 * predicted_conversion_probability) < 1e-6",
+        in_bins("predicted_conversion_probability", "conversion_category", CONVERSION),
+    )
 )
 query("l19_score_conversion_class")(
-    lambda w: scoring.score_conversion_class(w.history_model("conversion"), w.history_infer)
+    lambda w: consistent(
+        scoring.score_conversion_class(w.history_model("conversion"), w.history_infer), "customer_id",
+        "conversion_probability between 0 and 1", "conversion_prediction = cast(conversion_probability > 0.5 as int)",
+        in_bins("conversion_probability", "conversion_category", PROBABILITY_COARSE),
+    )
+)
+query("l20_score_success")(
+    lambda w: consistent(
+        scoring.score_success(w.model("campaign_success"), w.infer_part), "customer_id",
+        "predicted_campaign_success in ('low', 'medium', 'high')", "success_probability between 0 and 1",
+        "abs(success_confidence - greatest(success_probability, 1 - success_probability)) < 1e-9",
+        in_bins("success_probability", "success_category", SUCCESS),
+    )
+)
+query("l20_score_success_class")(
+    lambda w: consistent(
+        scoring.score_success_class(w.history_model("campaign_success"), w.history_infer), "customer_id",
+        "success_probability between 0 and 1", "success_prediction = cast(success_probability > 0.5 as int)",
+        in_bins("success_probability", "success_category", PROBABILITY_COARSE),
+    )
+)
+query("l21_score_budget")(
+    lambda w: consistent(
+        scoring.score_budget(w.model("budget"), w.infer_part), "customer_id budget_confidence", "predicted_optimal_budget >= 0",
+        in_bins("predicted_optimal_budget", "budget_category", BUDGET), in_bins("estimated_roi", "roi_category", ROI),
+    )
 )
-query("l20_score_success")(lambda w: scoring.score_success(w.model("campaign_success"), w.infer_part))
-query("l20_score_success_class")(lambda w: scoring.score_success_class(w.history_model("campaign_success"), w.history_infer))
-query("l21_score_budget")(lambda w: scoring.score_budget(w.model("budget"), w.infer_part))
 
 
 @query("l22_score_all")
@@ -727,7 +816,10 @@ def _(w):
     measures = ["monetary_value", "frequency", "recency_days", "engagement_score"]
     placed = segmentation.assign_segments(w.model("kmeans"), trained, ["customer_id", *measures])
     profile = segmentation.segment_summary(placed, "segment")
-    return scoring.score_segment_requests(w.model("kmeans"), profile, w.stored, AS_OF)
+    return consistent(
+        scoring.score_segment_requests(w.model("kmeans"), profile, w.stored, AS_OF),
+        "customer_id confidence_score inference_date", "segment between 0 and 4", "segment_type is not null", "customer_count > 0",
+    )
 
 
 # ---- reports -------------------------------------------------------------------------
