@@ -22,7 +22,14 @@ from patronage.sources.sample_views import sample_view
 
 AS_OF = date(2001, 8, 2)
 
-_memo: dict[tuple[str, str, str], object] = {}
+_memo: dict[tuple[object, ...], object] = {}
+
+
+def _contents(spark: SparkSession, folder: str) -> tuple[tuple[str, int, int], ...]:
+    """Path, length and time of what a folder holds: other data in it is another sample."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((s.getPath().getName(), s.getLen(), s.getModificationTime()) for s in listed))
 
 
 class Warehouse:
@@ -33,13 +40,14 @@ class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.contents = _contents(spark, sf_dir)
         self._views: dict[str, DataFrame] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Warehouse:
         """The session's warehouse for a folder. It holds logical plans, so sharing it saves
         analysis, not computation."""
-        key = (spark.sparkContext.applicationId, sf_dir, "warehouse")
+        key = (spark.sparkContext.applicationId, sf_dir, _contents(spark, sf_dir), "warehouse")
         if key not in _memo:
             _memo[key] = cls(spark, sf_dir)
         return _memo[key]
@@ -51,7 +59,7 @@ class Warehouse:
 
     def once(self, name: str, build: Callable[[], object]) -> object:
         """Build once per application and sample; used for stored tables and models."""
-        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, self.contents, name)
         if key not in _memo:
             _memo[key] = build()
         return _memo[key]

@@ -27,8 +27,8 @@ def read_table(
 ) -> DataFrame:
     """One source table by name.
 
-    Files (Parquet, ORC, JSON, CSV) are read with the declared schema, so nothing is
-    inferred. ``fmt="jdbc"`` reads a relational store: ``location`` is its URL, and a
+    JSON and CSV files are read with the declared schema, so nothing is inferred; Parquet and
+    ORC files carry their own. ``fmt="jdbc"`` reads a relational store: ``location`` is its URL, and a
     partition column with bounds splits the read into parallel range queries. Any other
     connector on the class path (a document store, say) is named by ``fmt`` as well.
     """
@@ -114,10 +114,13 @@ def write_snapshot(df: DataFrame, base: str, run_ts: datetime) -> str:
 
 
 def read_latest_snapshot(spark: SparkSession, base: str) -> DataFrame:
-    """Rows of the newest run; the scalar subquery prunes all other run folders."""
-    runs = spark.read.option("basePath", base).parquet(base)
-    newest = runs.agg(F.max("run_ts")).scalar()
-    return runs.filter(F.col("run_ts") == newest)
+    """Rows of the newest run, found by the names of the run folders; no other run is read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    runs = [s.getPath().getName() for s in listed if s.getPath().getName().startswith("run_ts=")]
+    if not runs:
+        raise FileNotFoundError(f"no run below {base}")
+    return spark.read.option("basePath", base).parquet(f"{base}/{max(runs)}")
 
 
 def write_report(report: DataFrame, path: str, mode: str = "overwrite") -> str:
