@@ -20,7 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patronage.llm.common import keyed, store
@@ -108,14 +108,14 @@ def _sketch(parts: DataFrame, bits: int) -> np.ndarray:
 
 
 def _prefixes(rows: DataFrame, n: int, percent: int, bits: int, sketch: np.ndarray) -> DataFrame:
-    """(token, class, size, place, level, small, rank) of every prefix token of every set.
+    """(token, class, size, place, mark) of every prefix token of every set.
 
-    ``small`` marks the prefix that must meet larger sets. ``rank`` is higher for sets of more
-    frequent tokens. A class is listed once per task, however many of its copies the task has.
+    ``mark`` is 4 times a rank, higher for sets of more frequent tokens, plus the level. A class
+    is listed once per task, however many of its copies the task has.
     """
     shared = rows.sparkSession.sparkContext.broadcast(sketch)
     floor = int(np.median(sketch))  # the logarithm that tokens have by chance alone
-    kinds = {"token": pa.int64(), "class": pa.int64(), "size": pa.int32(), "place": pa.int32(), "level": pa.int8(), "small": pa.bool_(), "rank": pa.int32()}
+    kinds = {"token": pa.int64(), "class": pa.int64(), "size": pa.int32(), "place": pa.int32(), "mark": pa.int32()}
 
     def list_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, logs, seen = WordHashes(), shared.value, set()
@@ -130,20 +130,17 @@ def _prefixes(rows: DataFrame, n: int, percent: int, bits: int, sketch: np.ndarr
                 seen.add(digest)
                 common = logs[_spread(tokens, bits)]
                 order = np.lexsort((tokens, common))
-                low, high = prefix_lengths(size, percent)
+                high = prefix_lengths(size, percent)[1]
                 # the mean number of other sets that the prefix meets, as a power of 4
                 cost = np.log2(np.exp2(common[order[:high]].astype("float64") - floor).mean()) / 2
                 level = max(1, min(1 + int(max(0, cost)), LONGEST, -(-percent * size // 100)))
                 listed = order[: min(size, high + level - 1)]
-                places = np.arange(len(listed))
                 columns = (
                     tokens[listed],
                     np.full(len(listed), int.from_bytes(digest[:8], "big", signed=True)),
                     np.full(len(listed), size),
-                    places,
-                    np.full(len(listed), level),
-                    places < low + level - 1,
-                    np.full(len(listed), int(common.mean() * 500)),
+                    np.arange(len(listed)),
+                    np.full(len(listed), 4 * int(common.mean() * 500) + level),
                 )
                 for part, column in zip(parts, columns, strict=True):
                     part.append(column)
@@ -153,7 +150,7 @@ def _prefixes(rows: DataFrame, n: int, percent: int, bits: int, sketch: np.ndarr
             )
 
     return rows.select("text").mapInArrow(
-        list_tokens, "token long, class long, size int, place int, level byte, small boolean, rank int"
+        list_tokens, "token long, class long, size int, place int, mark int"
     )
 
 
@@ -184,10 +181,49 @@ def _verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
     return both.mapInArrow(compare, "u long, v long")
 
 
-def _first_pairs(listed: DataFrame) -> DataFrame:
+LEVEL, RANK = "(mark % 4)", "(mark div 4)"
+
+
+def _first_places(percent: int) -> Column:
+    """Whether a place is in the prefix that must meet larger sets."""
+    return F.expr(f"place < size - ({percent} * 2 * size + 99 + {percent}) div (100 + {percent}) + {LEVEL}")
+
+
+def _listed(percent: int) -> Column:
+    """Length of the prefix that is listed."""
+    return F.expr(f"least(size, size - ({percent} * size + 99) div 100 + {LEVEL})")
+
+
+def _met(listed: DataFrame, by: str, percent: int) -> DataFrame:
+    """Rows whose token is listed with two values of ``by`` or more, with ``met``, how many such
+    tokens the class has, and ``spare``, how many of its tokens are not listed."""
+    shared = listed.groupBy("token").agg(F.min(by).alias("low"), F.max(by).alias("high")).where("low <> high").select("token")
+    rows = listed.join(shared, "token", "left_semi")
+    met = F.count(F.lit(1)).over(Window.partitionBy("class")).cast("int")
+    return rows.withColumns({"met": met, "spare": (F.col("size") - _listed(percent)).cast("int")})
+
+
+def _can_link(percent: int, sizes: Column, common: Column) -> Column:
+    return percent * sizes <= (100 + percent) * common
+
+
+def _common(one: str, other: str) -> Column:
+    """Most tokens that two classes can have in common. The one whose listed tokens end first
+    in the order has what it shares among tokens that both list, and its spare ones."""
+    return F.greatest(F.col(f"{one}spare"), F.col(f"{other}spare")) + F.least(F.col(f"{one}met"), F.col(f"{other}met"))
+
+
+def _first_pairs(listed: DataFrame, percent: int) -> DataFrame:
     """Each class with the most typical class of one of its tokens: the one it meets most."""
+    order = F.shiftleft(F.expr(RANK).cast("long"), 47).bitwiseOR(F.col("class").bitwiseAND((1 << 47) - 1))
+    pivots = listed.groupBy("token").agg(
+        *(F.max_by(c, order).alias(f"pivot{n}") for c, n in (("class", ""), *((c, f"_{c}") for c in ("size", "met", "spare"))))
+    )
+    sizes = F.col("size") + F.col("pivot_size")
     met = (
-        listed.where(F.col("pivot") != F.col("class"))
+        listed.join(pivots, "token")
+        .where(F.col("pivot") != F.col("class"))
+        .where(_can_link(percent, sizes, _common("", "pivot_")))
         .groupBy("class", "pivot")
         .agg(F.count(F.lit(1)).alias("tokens"))
     )
@@ -198,27 +234,39 @@ def _first_pairs(listed: DataFrame) -> DataFrame:
 def _second_pairs(listed: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """All pairs (a, b) of classes of different groups that share as many prefix tokens as their
     levels say. Groups meet before their classes do."""
-    rows = listed.join(groups, "class", "left").withColumn("group", F.coalesce("group", "class"))
-    mixed = (
-        rows.groupBy("token").agg(F.min("group").alias("low"), F.max("group").alias("high")).where("low <> high").select("token")
+    rows, _ = store(
+        listed.drop("met", "spare").join(groups, "class", "left").withColumn("group", F.coalesce("group", "class")),
+        "ngram-grouped",
     )
-    rows, _ = store(rows.join(mixed, "token", "left_semi").drop("pivot", "rank"), "ngram-mixed")
-    larger = rows.select(*(F.col(c).alias(f"b_{c}") for c in ("class", "size", "place", "level", "group")), "token")
-    smaller = rows.where("small").select(
+    rows, _ = store(_met(rows, "group", percent).withColumn("level", F.expr(LEVEL)), "ngram-mixed")
+    larger = rows.select(*(F.col(c).alias(f"b_{c}") for c in ("class", "size", "place", "level", "group", "met", "spare")), "token")
+    smaller = rows.where(_first_places(percent)).select(
         "token",
         F.col("group").alias("a_group"),
-        *(F.col(c).alias(f"a_{c}") for c in ("class", "size", "place", "level")),
+        *(F.col(c).alias(f"a_{c}") for c in ("class", "size", "place", "level", "met", "spare")),
+    )
+    size = F.col("b_size")
+    left = size - F.col("b_place") + F.col("b_level") - 1
+    right = F.col("a_size") - F.col("a_place") + F.col("a_level") - 1
+    held = smaller.groupBy("token", "a_group").agg(
+        F.min("a_size").alias("least"),
+        F.max("a_size").alias("largest"),
+        F.max(right).alias("room"),
+        F.max("a_met").alias("held_met"),
+        F.max("a_spare").alias("held_spare"),
+    )
+    wanted = larger.join(held, "token").where(
+        (F.col("a_group") != F.col("b_group"))
+        & (F.col("least") <= size)
+        & (100 * F.col("largest") >= percent * size)
+        & _can_link(percent, F.col("least") + size, F.least(left, "room", _common("b_", "held_")))
     )
-    met = smaller.groupBy("token", "a_group").agg(F.min("a_size").alias("least"), F.max("a_size").alias("most"))
-    size, left = F.col("b_size"), F.col("b_size") - F.col("b_place") + F.col("b_level") - 1
-    # 100 * intersection >= percent * union, with at most ``left`` tokens in common
-    fits_b = (100 * F.col("most") >= percent * size) & (percent * (F.col("least") + size) <= (100 + percent) * left)
-    wanted = larger.join(met, "token").where((F.col("a_group") != F.col("b_group")) & (F.col("least") <= size) & fits_b)
-    room = F.least(left, F.col("a_size") - F.col("a_place") + F.col("a_level") - 1)
     ordered = (F.col("a_size") < size) | ((F.col("a_size") == size) & (F.col("a_class") < F.col("b_class")))
-    fits = (100 * F.col("a_size") >= percent * size) & (percent * (F.col("a_size") + size) <= (100 + percent) * room)
+    fits = (100 * F.col("a_size") >= percent * size) & _can_link(
+        percent, F.col("a_size") + size, F.least(left, right, _common("a_", "b_"))
+    )
     return (
-        wanted.drop("least", "most")
+        wanted.drop("least", "largest", "room", "held_met", "held_spare")
         .join(smaller, ["token", "a_group"])
         .where(ordered & fits)
         .groupBy(F.col("a_class").alias("a"), F.col("b_class").alias("b"))
@@ -242,33 +290,38 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     parts, _ = store(_sets_and_sketch(rows, words, bits), "ngram-sets")
     sets = parts.where("chunk is null").select("doc_id", "text_key", "size", "digest")
     listed, _ = store(_prefixes(rows.where("doc_id is not null"), words, percent, bits, _sketch(parts, bits)), "ngram-prefixes")
-    order = F.shiftleft(F.col("rank").cast("long"), 47).bitwiseOR(F.col("class").bitwiseAND((1 << 47) - 1))
-    tokens = (
-        listed.groupBy("token")
-        .agg(F.min("class").alias("low"), F.max("class").alias("high"), F.max_by("class", order).alias("pivot"))
-        .where("low <> high")
-        .select("token", "pivot")
+    shared = listed.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
+    listed, _ = store(
+        listed.join(shared, "token", "left_semi").dropDuplicates(["token", "class"]), "ngram-shared"
     )
-    met, _ = store(listed.join(tokens, "token").dropDuplicates(["token", "class"]), "ngram-met")
+    met, _ = store(_met(listed, "class", percent), "ngram-met")
     spoken = sets.where("doc_id is not null and size > 0").groupBy("doc_id").agg(F.min(F.struct("text_key", "digest")).alias("one"))
     spoken = spoken.select("doc_id", "one.text_key", "one.digest")
     firsts, _ = store(
         spoken.groupBy("digest").agg(F.min(F.struct("doc_id", "text_key")).alias("one")).select("digest", "one.*"), "ngram-classes"
     )
     number = F.conv(F.substring(F.hex("digest"), 1, 16), 16, -10).cast("long")
-    asked = met.select("class").distinct().join(firsts.select("doc_id", "text_key", number.alias("class")), "class")
-    texts, _ = store(rows.join(asked, ["doc_id", "text_key"]).select("class", "doc_id", "text").dropDuplicates(["class", "doc_id"]), "ngram-texts")
-    first = _first_pairs(met)
-    links, _ = store(_verify(first, texts, words, percent), "ngram-links")
-    by_class = texts.select("class", F.col("doc_id").alias("node"))
+    classes = firsts.select("doc_id", "text_key", number.alias("class"))
+    first, _ = store(_first_pairs(met, percent), "ngram-first-pairs")
+
+    def texts_of(pairs: DataFrame, label: str) -> DataFrame:
+        """class, doc_id and text of what is to be compared."""
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes, "class")
+        found = rows.join(asked, ["doc_id", "text_key"]).select("class", "doc_id", "text")
+        return store(found.dropDuplicates(["class", "doc_id"]), label)[0]
+
+    links, _ = store(_verify(first, texts_of(first, "ngram-first-texts"), words, percent), "ngram-links")
+    by_class = classes.select("class", F.col("doc_id").alias("node"))
     rooted = connected_components(by_class.select("node"), links)
-    groups = rooted.join(by_class, "node").select("class", F.col("root").alias("group"))
-    # a group's name is a document and a lone class's its own number: told apart by a hash
-    groups = groups.select("class", F.xxhash64(F.lit(9), "group").alias("group"))
-    more, _ = store(_verify(_second_pairs(met, groups, percent), texts, words, percent), "ngram-more-links")
+    # a group's name is a document, a lone class's its own number: told apart by a hash
+    groups = rooted.join(by_class, "node").select("class", F.xxhash64(F.lit(9), "root").alias("group"))
+    second, _ = store(_second_pairs(met, groups, percent), "ngram-second-pairs")
+    more, _ = store(_verify(second, texts_of(second, "ngram-second-texts"), words, percent), "ngram-more-links")
     members = spoken.join(firsts.select("digest", F.col("doc_id").alias("class_doc")), "digest").select("doc_id", "class_doc")
     roots = connected_components(firsts.select(F.col("doc_id").alias("node")), links.union(more))
-    placed = members.join(roots.select(F.col("node").alias("class_doc"), F.col("root").alias("component")), "class_doc")
+    # stored, so that the next join can be split where a class has very many copies
+    roots, _ = store(roots.select(F.col("node").alias("class_doc"), F.col("root").alias("component")), "ngram-roots")
+    placed = members.join(roots, "class_doc")
     return sets.join(placed, "doc_id", "left").select(
         "doc_id",
         "text_key",

@@ -220,6 +220,7 @@ def repeated_windows(docs: DataFrame, window: int, gram: int, shard: int, stream
     known = shared.join(marked, ["anchor", "content"], "left").select(
         "anchor", "content", F.col("one.doc_id").alias("owner"), "last", F.coalesce("places", none).alias("places")
     ).where("last > owner or size(places) > 0").drop("last")
+    known, _ = store(known, "substring-known")  # both sides of the next join can then be split where a key is hot
     inside = F.when(F.col("doc_id") > F.col("owner"), F.sequence(F.lit(0), F.col("count") - 1)).otherwise(F.col("places"))
     hit = rows.join(known, ["anchor", "content"]).select(
         "doc_id", "text_key", F.transform(inside, lambda p: p + F.col("first")).alias("starts")

@@ -219,6 +219,18 @@ def test_links_are_not_lost_when_every_set_takes_the_longest_prefix(table, texts
     assert sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in found) == components(rows, 1, 60)
 
 
+def test_a_part_of_a_larger_set_is_linked_though_few_listed_tokens_meet(table):
+    """The larger set's own tokens fill its prefix, so that the two list one token in common."""
+    rows = []
+    for n in range(12):
+        part = [f"s{n}x{i}" for i in range(85)]
+        rows += [(10 * n, " ".join(part)), (10 * n + 1, " ".join(part + [f"r{n}x{i}" for i in range(15)]))]
+        rows += [(1000 + 100 * n + k, f"s{n}x{i} s{n}x{i + 1}") for k, i in enumerate(range(0, 84, 2))]
+    found = ngram_join.near_duplicates(table(rows), 1, 85, bits=22).collect()
+    roots = {r["doc_id"]: r["component_id"] for r in found}
+    assert all(roots[10 * n + 1] == 10 * n for n in range(12))
+
+
 def test_prefixes_of_similar_sets_share_enough_tokens():
     chance = random.Random(9)
     for _ in range(500):
