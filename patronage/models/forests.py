@@ -33,6 +33,8 @@ class Forest:
     target: str
     model: PipelineModel
     metrics: dict[str, float] = field(default_factory=dict)
+    #: What a constant guess reaches on the same split; known after fitting, not stored.
+    baseline: dict[str, float] = field(default_factory=dict)
 
     @property
     def features(self) -> list[str]:
@@ -70,6 +72,20 @@ def _numeric(df: DataFrame, features: Sequence[str], target: str | None, kind: s
     return df.select(*[F.col(c) for c in keep], *columns)
 
 
+def guess_metrics(train: DataFrame, test: DataFrame, target: str, kind: str) -> dict[str, float]:
+    """Rows of both parts, and what the best constant of the training rows reaches on the test
+    rows: the error of the mean, or the accuracy of the most frequent class (ties: the smallest)."""
+    y = F.col(target)
+    if kind == REGRESSION:
+        n, guess, low, high = train.agg(F.count(F.lit(1)), F.avg(y), F.min(y), F.max(y)).first()
+        n_test, error = test.agg(F.count(F.lit(1)), F.sqrt(F.avg((y - F.lit(guess)) * (y - F.lit(guess))))).first()
+        return {"n_train": n, "n_test": n_test, "label_min": low, "label_max": high, "baseline_rmse": error}
+    counts = train.groupBy(y.alias("c")).agg(F.count(F.lit(1)).alias("n"))
+    n, guess = counts.agg(F.sum("n"), F.min(F.struct((-F.col("n")).alias("n"), "c"))["c"]).first()
+    n_test, share = test.agg(F.count(F.lit(1)), F.avg((y == F.lit(guess)).cast("double"))).first()
+    return {"n_train": n, "n_test": n_test, "baseline_accuracy": share}
+
+
 def train_forest(
     df: DataFrame,
     features: Sequence[str],
@@ -95,6 +111,7 @@ def train_forest(
     else:
         row = classification_metrics(named_prediction(forest, model.transform(test)), target, "predicted").first()
     forest.metrics = {**row.asDict(), "n_estimators": trees, "max_depth": depth}
+    forest.baseline = guess_metrics(train, test, target, kind)
     return forest
 
 

@@ -24,6 +24,8 @@ from patronage.operators.ranking import global_row_number
 class Segmentation:
     model: PipelineModel
     metrics: dict[str, float] = field(default_factory=dict)
+    #: Rows and cost of a single cluster; known after fitting, not stored.
+    baseline: dict[str, float] = field(default_factory=dict)
 
     @property
     def features(self) -> list[str]:
@@ -64,8 +66,10 @@ def train_kmeans(
         "training_cost": best.summary.trainingCost,
         "n_clusters": n_clusters,
     }
+    squares = sum((F.col(c) * F.col(c) for c in scores.columns[1:]), F.lit(0.0))
+    rows, cost = scores.agg(F.count(F.lit(1)), F.sum(squares)).first()  # the mean is 0 on every axis
     scaled.unpersist()
-    return Segmentation(PipelineModel(stages=[assemble, scaler, best]), metrics)
+    return Segmentation(PipelineModel(stages=[assemble, scaler, best]), metrics, {"n_train": rows, "baseline_cost": cost})
 
 
 def assign_segments(segmentation: Segmentation, df: DataFrame, keep: Sequence[str]) -> DataFrame:

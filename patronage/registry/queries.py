@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from datetime import datetime
 from functools import reduce
 
@@ -59,6 +59,30 @@ def consistent(scores: DataFrame, keep: str, *conditions: str) -> DataFrame:
     return scores.select(*keep.split(), holds.alias("consistent"))
 
 
+def model_values(spark: SparkSession, fitted: Mapping[str, object]) -> DataFrame:
+    """model, metric, value: all metrics (NULL where one is undefined), rows of the split, what a
+    constant guess reaches, and whether the model is better than that."""
+    rows = []
+    for name, model in fitted.items():
+        values = {**model.metrics, **model.baseline}
+        if "baseline_rmse" in values:
+            better = values["rmse"] < values["baseline_rmse"]
+        elif "baseline_accuracy" in values:
+            better = values["accuracy"] > values["baseline_accuracy"]
+        else:
+            better = values["training_cost"] < values["baseline_cost"]
+        values["beats_baseline"] = better
+        rows += [(name, metric, None if v is None else float(v)) for metric, v in values.items()]
+    return spark.createDataFrame(rows, "model string, metric string, value double")
+
+
+def label_range(column: str, forest: forests.Forest) -> str:
+    """A forest predicts means of labels, which lie between the least and the largest one."""
+    low, high = forest.baseline["label_min"], forest.baseline["label_max"]
+    slack = 1e-9 * max(abs(low), abs(high), 1.0)
+    return f"{column} between {low - slack!r}D and {high + slack!r}D"
+
+
 def in_bins(column: str, category: str, bins: tuple[list, list]) -> str:
     return f"{category} <=> {case_of_bins(column, *bins)}"
 
@@ -71,6 +95,14 @@ def query(name: str):
     return register
 
 
+def scored(name: str, scores: Callable[[Warehouse], DataFrame], keep: str, *conditions: str, within: tuple[str, str] | None = None):
+    """The whole score table as ``name``_values, and as ``name`` what SQL can repeat of it.
+    ``within`` names a prediction and the model whose labels bound it."""
+    query(f"{name}_values")(scores)
+    bounds = (lambda w: [label_range(within[0], w.model(within[1]))]) if within else (lambda w: [])
+    query(name)(lambda w: consistent(scores(w), keep, *conditions, *bounds(w)))
+
+
 # ---- sources and sinks ---------------------------------------------------------------
 
 query("s1_relational_scan")(lambda w: w.view("transactions"))
@@ -658,10 +690,30 @@ query("f32_forecast_band")(
 
 # ---- models --------------------------------------------------------------------------
 
+def _fitted(w: Warehouse, name: str, history: bool) -> dict[str, object]:
+    return {name: w.history_model(name) if history else w.model(name)}
+
+
 def _metrics_of(name: str, history: bool = False):
-    return lambda w: sound(metrics_table(w.spark, {name: w.history_model(name) if history else w.model(name)}))
+    return lambda w: sound(metrics_table(w.spark, _fitted(w, name, history)))
+
 
+def _values_of(name: str, history: bool = False):
+    return lambda w: model_values(w.spark, _fitted(w, name, history))
 
+
+# what the next queries hide from SQL, which cannot fit a model: every value
+for _plain, _variant, _model in (
+    ("l1_kmeans", "l1_kmeans_history", "kmeans"),
+    ("l6_success_classifier", "l6_success_classifier_history", "campaign_success"),
+    ("l7_budget_regressor", "l7_budget_regressor_history", "budget"),
+    ("l8_revenue_regressor", "l8_revenue_regressor_history", "revenue"),
+    ("l9_ctr_regressor", "l9_ctr_regressor_history", "ctr"),
+    ("l10_stage_classifier", "l10_stage_classifier_history", "journey_stage"),
+    ("l11_conversion_regressor", "l11_conversion_classifier_history", "conversion"),
+):
+    query(f"{_plain}_values")(_values_of(_model))
+    query(f"{_variant}_values")(_values_of(_model, history=True))
 query("l1_kmeans")(_metrics_of("kmeans"))
 query("l1_kmeans_history")(_metrics_of("kmeans", history=True))
 query("l2_density_segments")(lambda w: density.density_segments(w.stored, DENSITY_FEATURES))
@@ -708,38 +760,65 @@ def _(w):
     return metrics.classification_metrics(w.journey.withColumn("guess", guess), "journey_type", "guess")
 
 
+def _cross_validated(w: Warehouse, target: str, kind: str) -> DataFrame:
+    result = forests.cross_validate(w.history_train, k.ORDER_HISTORY_FEATURES, target, kind)
+    return w.spark.createDataFrame([(name, float(v)) for name, v in result.items()], "metric string, value double")
+
+
 def _cross_validation(target: str, kind: str):
+    return lambda w: sound(_cross_validated(w, target, kind))
+
+
+def _cross_validation_values(target: str, kind: str):
+    """With the rows, and the accuracy of the most frequent class; the mean of a fold has R2 0."""
+
     def build(w: Warehouse) -> DataFrame:
-        result = forests.cross_validate(w.history_train, k.ORDER_HISTORY_FEATURES, target, kind)
-        return sound(w.spark.createDataFrame([(name, float(v)) for name, v in result.items()], "metric string, value double"))
+        rows = w.history_train.filter(F.col(target).isNotNull())
+        guess = forests.guess_metrics(rows, rows, target, kind)
+        name, least = ("cv_r2", 0.0) if kind == forests.REGRESSION else ("cv_accuracy", guess["baseline_accuracy"])
+        values = _cross_validated(w, target, kind)
+        more = [("n_rows", float(guess["n_train"])), (f"baseline_{name}", least)]
+        better = values.filter(F.col("metric") == f"{name}_mean").select(
+            F.lit("beats_baseline").alias("metric"), (F.col("value") > least).cast("double").alias("value")
+        )
+        return values.union(w.spark.createDataFrame(more, values.schema)).union(better)
 
     return build
 
 
-query("l14_cross_validation")(_cross_validation("label_budget", forests.REGRESSION))
-query("l14_cross_validation_accuracy")(_cross_validation("label_conversion", forests.CLASSIFICATION))
+for _name, _target, _kind in (
+    ("l14_cross_validation", "label_budget", forests.REGRESSION),
+    ("l14_cross_validation_accuracy", "label_conversion", forests.CLASSIFICATION),
+):
+    query(_name)(_cross_validation(_target, _kind))
+    query(f"{_name}_values")(_cross_validation_values(_target, _kind))
 
 
-query("l15_score_segments")(
-    lambda w: consistent(
-        scoring.score_segments(w.model("kmeans"), w.infer_part), "customer_id kmeans_confidence",
-        "kmeans_segment between 0 and 4", "kmeans_segment_type = concat('Segment_', kmeans_segment)", "kmeans_segment_size > 0",
-    )
+scored(
+    "l15_score_segments", lambda w: scoring.score_segments(w.model("kmeans"), w.infer_part), "customer_id kmeans_confidence",
+    "kmeans_segment between 0 and 4", "kmeans_segment_type = concat('Segment_', kmeans_segment)", "kmeans_segment_size > 0",
 )
-query("l15_score_segments_named")(
-    lambda w: consistent(
-        scoring.score_segments_named(w.history_model("kmeans"), w.history_infer), "customer_id",
-        "kmeans_segment between 0 and 4", "kmeans_segment_type is not null",
-    )
+scored(
+    "l15_score_segments_named", lambda w: scoring.score_segments_named(w.history_model("kmeans"), w.history_infer),
+    "customer_id", "kmeans_segment between 0 and 4", "kmeans_segment_type is not null",
 )
 query("l15_score_density")(lambda w: scoring.score_density(w.stored, DENSITY_FEATURES, eps=2.5, min_cluster_size=10))
 FORECAST = "customer_id forecast_confidence forecast_period forecast_date"
 
-query("l16_score_revenue")(
-    lambda w: consistent(scoring.score_revenue(w.model("revenue"), training_inputs(w), AS_OF), FORECAST, "predicted_revenue >= 0")
+scored(
+    "l16_score_revenue", lambda w: scoring.score_revenue(w.model("revenue"), training_inputs(w), AS_OF), FORECAST,
+    "predicted_revenue >= 0", within=("predicted_revenue", "revenue"),
 )
 
 
+def _revenue_levels(w: Warehouse) -> DataFrame:
+    scores = scoring.score_revenue(w.history_model("revenue"), w.history_infer, AS_OF)
+    return scoring.with_levels(scores, "predicted_revenue", "level")
+
+
+query("l16_score_revenue_levels_values")(_revenue_levels)
+
+
 @query("l16_score_revenue_levels")
 def _(w):
     scores = scoring.score_revenue(w.history_model("revenue"), w.history_infer, AS_OF)
@@ -748,61 +827,70 @@ def _(w):
     )
     place = "ceil((predicted_revenue - low) / (high - low) * 5)"
     named = f"level = element_at(array({', '.join(repr(n) for n in k.FIVE_LEVELS)}), cast(greatest({place}, 1) as int))"
-    return consistent(levels, FORECAST, "predicted_revenue >= 0", named)
-
-
-query("l17_score_ctr")(
-    lambda w: consistent(scoring.score_ctr(w.model("ctr"), training_inputs(w), AS_OF), FORECAST, "predicted_ctr >= 0")
-)
-query("l18_score_stage")(
-    lambda w: consistent(
-        scoring.score_stage(w.model("journey_stage"), features.journey_features(w.infer_part, AS_OF)), "customer_id",
-        "predicted_journey_stage is not null", "stage_confidence between 0 and 1", in_bins("stage_confidence", "stage_category", STAGE),
-    )
-)
-query("l18_score_stage_history")(
-    lambda w: consistent(
-        scoring.score_stage(w.history_model("journey_stage"), w.history_infer, k.STAGE_BINS_COARSE), "customer_id",
-        "predicted_journey_stage is not null", "stage_confidence between 0 and 1",
-        in_bins("stage_confidence", "stage_category", STAGE_COARSE),
-    )
-)
-query("l19_score_conversion")(
-    lambda w: consistent(
-        scoring.score_conversion(w.model("conversion"), features.journey_features(w.infer_part, AS_OF)),
-        "customer_id conversion_confidence", "predicted_conversion_probability between 0 and 1",
-        "abs(expected_value - 100 * predicted_conversion_probability) < 1e-6",
-        in_bins("predicted_conversion_probability", "conversion_category", CONVERSION),
-    )
-)
-query("l19_score_conversion_class")(
-    lambda w: consistent(
-        scoring.score_conversion_class(w.history_model("conversion"), w.history_infer), "customer_id",
-        "conversion_probability between 0 and 1", "conversion_prediction = cast(conversion_probability > 0.5 as int)",
-        in_bins("conversion_probability", "conversion_category", PROBABILITY_COARSE),
-    )
-)
-query("l20_score_success")(
-    lambda w: consistent(
-        scoring.score_success(w.model("campaign_success"), w.infer_part), "customer_id",
-        "predicted_campaign_success in ('low', 'medium', 'high')", "success_probability between 0 and 1",
-        "abs(success_confidence - greatest(success_probability, 1 - success_probability)) < 1e-9",
-        in_bins("success_probability", "success_category", SUCCESS),
-    )
-)
-query("l20_score_success_class")(
-    lambda w: consistent(
-        scoring.score_success_class(w.history_model("campaign_success"), w.history_infer), "customer_id",
-        "success_probability between 0 and 1", "success_prediction = cast(success_probability > 0.5 as int)",
-        in_bins("success_probability", "success_category", PROBABILITY_COARSE),
-    )
-)
-query("l21_score_budget")(
-    lambda w: consistent(
-        scoring.score_budget(w.model("budget"), w.infer_part), "customer_id budget_confidence", "predicted_optimal_budget >= 0",
-        in_bins("predicted_optimal_budget", "budget_category", BUDGET), in_bins("estimated_roi", "roi_category", ROI),
-    )
-)
+    ranged = label_range("predicted_revenue", w.history_model("revenue"))
+    return consistent(levels, FORECAST, "predicted_revenue >= 0", ranged, named)
+
+
+scored(
+    "l17_score_ctr", lambda w: scoring.score_ctr(w.model("ctr"), training_inputs(w), AS_OF), FORECAST, "predicted_ctr >= 0",
+    within=("predicted_ctr", "ctr"),
+)
+scored(
+    "l18_score_stage",
+    lambda w: scoring.score_stage(w.model("journey_stage"), features.journey_features(w.infer_part, AS_OF)), "customer_id",
+    "predicted_journey_stage is not null", "stage_confidence between 0 and 1", in_bins("stage_confidence", "stage_category", STAGE),
+)
+scored(
+    "l18_score_stage_history",
+    lambda w: scoring.score_stage(w.history_model("journey_stage"), w.history_infer, k.STAGE_BINS_COARSE), "customer_id",
+    "predicted_journey_stage is not null", "stage_confidence between 0 and 1",
+    in_bins("stage_confidence", "stage_category", STAGE_COARSE),
+)
+scored(
+    "l19_score_conversion",
+    lambda w: scoring.score_conversion(w.model("conversion"), features.journey_features(w.infer_part, AS_OF)),
+    "customer_id conversion_confidence", "predicted_conversion_probability between 0 and 1",
+    "abs(expected_value - 100 * predicted_conversion_probability) < 1e-6",
+    in_bins("predicted_conversion_probability", "conversion_category", CONVERSION),
+    within=("predicted_conversion_probability", "conversion"),
+)
+scored(
+    "l19_score_conversion_class",
+    lambda w: scoring.score_conversion_class(w.history_model("conversion"), w.history_infer), "customer_id",
+    "conversion_probability between 0 and 1", "conversion_prediction = cast(conversion_probability > 0.5 as int)",
+    in_bins("conversion_probability", "conversion_category", PROBABILITY_COARSE),
+)
+scored(
+    "l20_score_success", lambda w: scoring.score_success(w.model("campaign_success"), w.infer_part), "customer_id",
+    "predicted_campaign_success in ('low', 'medium', 'high')", "success_probability between 0 and 1",
+    "abs(success_confidence - greatest(success_probability, 1 - success_probability)) < 1e-9",
+    in_bins("success_probability", "success_category", SUCCESS),
+)
+scored(
+    "l20_score_success_class",
+    lambda w: scoring.score_success_class(w.history_model("campaign_success"), w.history_infer), "customer_id",
+    "success_probability between 0 and 1", "success_prediction = cast(success_probability > 0.5 as int)",
+    in_bins("success_probability", "success_category", PROBABILITY_COARSE),
+)
+scored(
+    "l21_score_budget", lambda w: scoring.score_budget(w.model("budget"), w.infer_part), "customer_id budget_confidence",
+    "predicted_optimal_budget >= 0", in_bins("predicted_optimal_budget", "budget_category", BUDGET),
+    in_bins("estimated_roi", "roi_category", ROI), within=("predicted_optimal_budget", "budget"),
+)
+
+
+@query("l22_score_all_values")
+def _(w):
+    """Every value of every score table: family, model, customer_id, measure, value as text."""
+    parts = []
+    for (family, model), scores in scoring.score_all(w.models, w.infer_part, AS_OF, DENSITY_FEATURES).items():
+        values = publish(scores)
+        measures = [c for c in values.columns if c != "customer_id"]
+        pairs = F.array(*(F.struct(F.lit(c).alias("measure"), F.col(c).cast("string").alias("value")) for c in measures))
+        parts.append(
+            values.select(F.lit(family).alias("family"), F.lit(model).alias("model"), "customer_id", F.inline(pairs))
+        )
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("l22_score_all")
@@ -810,16 +898,18 @@ def _(w):
     return reports.master_report(scoring.score_all(w.models, w.infer_part, AS_OF, DENSITY_FEATURES))
 
 
-@query("l23_segment_requests")
-def _(w):
+def _segment_requests(w: Warehouse) -> DataFrame:
     trained = features.with_purchases(w.train_part)
     measures = ["monetary_value", "frequency", "recency_days", "engagement_score"]
     placed = segmentation.assign_segments(w.model("kmeans"), trained, ["customer_id", *measures])
     profile = segmentation.segment_summary(placed, "segment")
-    return consistent(
-        scoring.score_segment_requests(w.model("kmeans"), profile, w.stored, AS_OF),
-        "customer_id confidence_score inference_date", "segment between 0 and 4", "segment_type is not null", "customer_count > 0",
-    )
+    return scoring.score_segment_requests(w.model("kmeans"), profile, w.stored, AS_OF)
+
+
+scored(
+    "l23_segment_requests", _segment_requests, "customer_id confidence_score inference_date",
+    "segment between 0 and 4", "segment_type is not null", "customer_count > 0",
+)
 
 
 # ---- reports -------------------------------------------------------------------------
