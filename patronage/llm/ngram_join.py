@@ -10,6 +10,10 @@ Pairs are not enumerated within groups that are linked already. Equal sets are o
 first round each class meets one class per token, the most typical one, and links that hold
 are joined to groups. The second round pairs classes of different groups only; it leaves out
 nothing that the prefixes allow, so no link between groups is lost.
+
+The links themselves all lie inside components, so they are found there: the classes of a
+component are dealt into blocks, and every pair of blocks counts the common tokens of all its
+pairs of classes. No pair of a component is left out.
 """
 
 from __future__ import annotations
@@ -33,6 +37,9 @@ PERCENT = 80
 SKETCH_BITS = 22
 _CHUNK_BITS = 16
 LONGEST = 3
+#: Classes of a component that meet in one task, and shared tokens counted at a time.
+BLOCK = 256
+_COLUMNS = 4096
 
 
 def shingles(text: str | None, n: int, hashes: WordHashes) -> np.ndarray:
@@ -329,3 +336,97 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         F.when(F.col("size") > 0, F.col("class_doc")).otherwise(F.col("doc_id")).alias("class_doc"),
         F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def common_tokens(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every left with every right set of distinct tokens."""
+    found = np.zeros((len(left), len(right)), "int64")
+    one, other = (np.concatenate([np.zeros(0, "int64"), *sets]) for sets in (left, right))
+    shared = np.intersect1d(one, other)
+    places = [np.repeat(np.arange(len(sets)), [len(x) for x in sets]) for sets in (left, right)]
+    for start in range(0, len(shared), _COLUMNS):
+        part = shared[start : start + _COLUMNS]
+        marks = []
+        for tokens, place, sets in ((one, places[0], left), (other, places[1], right)):
+            at = np.minimum(np.searchsorted(part, tokens), len(part) - 1)
+            held = part[at] == tokens
+            mark = np.zeros((len(sets), len(part)), "float32")
+            mark[place[held], at[held]] = 1
+            marks.append(mark)
+        found += (marks[0] @ marks[1].T).astype("int64")  # counts to 4,096 are exact
+    return found
+
+
+def _compared(rows: DataFrame, found: DataFrame, words: int, percent: int, pairs: bool) -> DataFrame:
+    """All links between classes: (u, v, common) with u < v, or (class_doc, linked), how many
+    documents the classes linked to one have, in parts to be summed."""
+    spoken = found.where("doc_id is not null and n_shingles > 0")
+    classes = spoken.groupBy("class_doc").agg(
+        F.first("component_id").alias("component"),
+        F.countDistinct("doc_id").alias("copies"),
+        F.min(F.when(F.col("doc_id") == F.col("class_doc"), F.col("text_key"))).alias("text_key"),
+    )
+    # stored, so that the next join can be split where a component has very many classes
+    classes, _ = store(classes, "ngram-class-sizes")
+    blocks = F.ceil(F.col("classes") / BLOCK).cast("int")
+    sizes = classes.groupBy("component").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    placed = classes.join(sizes, "component").withColumn("blocks", blocks)
+    placed = placed.withColumn("block", F.pmod(F.xxhash64(F.lit(23), "class_doc"), F.col("blocks")).cast("int"))
+    texts = rows.select("doc_id", "text_key", "text").join(
+        placed.withColumnRenamed("class_doc", "doc_id"), ["doc_id", "text_key"]
+    )
+    texts, _ = store(texts.dropDuplicates(["doc_id"]), "ngram-class-texts")
+    met = texts.select(
+        "component", "doc_id", "copies", "text", "block", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")
+    ).select("component", "doc_id", "copies", "text", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        hashes = WordHashes()
+        docs, copies, block = (table.column(c).to_numpy() for c in ("doc_id", "copies", "block"))
+        sets = [shingles(text, words, hashes) for text in table.column("text").to_pylist()]
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        one, other = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        common = common_tokens([sets[x] for x in one], [sets[x] for x in other])
+        total = np.array([len(x) for x in sets])
+        linked = 100 * common >= percent * (total[one][:, None] + total[other][None, :] - common)
+        linked &= docs[one][:, None] != docs[other][None, :]
+        if pairs:
+            a, b = np.nonzero(linked & (docs[one][:, None] < docs[other][None, :]) if i == j else linked)
+            u, v = docs[one[a]], docs[other[b]]
+            return pa.table({"u": np.minimum(u, v), "v": np.maximum(u, v), "common": common[a, b]})
+        sums = np.zeros(len(docs), "int64")
+        sums[one] += linked.astype("int64") @ copies[other]
+        if i != j:
+            sums[other] += linked.T.astype("int64") @ copies[one]
+        return pa.table({"class_doc": docs, "linked": sums})
+
+    schema = "u long, v long, common long" if pairs else "class_doc long, linked long"
+    return met.groupBy("component", "i", "j").applyInArrow(compare, schema)
+
+
+def near_duplicate_links(
+    docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bits: int = SKETCH_BITS
+) -> tuple[DataFrame, DataFrame]:
+    """:func:`near_duplicates`, and all links between different sets: u, v (``class_doc`` of the
+    two, u < v) and common, the size of their intersection. Documents with the same set are
+    linked without being listed; what links to a class links to all its documents."""
+    found, _ = store(near_duplicates(docs, words, percent, bits), "ngram-found")
+    return found, _compared(keyed(docs), found, words, percent, pairs=True)
+
+
+def with_link_counts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bits: int = SKETCH_BITS) -> DataFrame:
+    """:func:`near_duplicates` with n_links, how many other documents the document is linked to
+    itself. Every pair of different sets in a component is compared; NULL without doc_id."""
+    found, _ = store(near_duplicates(docs, words, percent, bits), "ngram-found")
+    linked = _compared(keyed(docs), found, words, percent, pairs=False).groupBy("class_doc").agg(F.sum("linked").alias("linked"))
+    spoken = found.where("doc_id is not null and n_shingles > 0")
+    copies = spoken.groupBy("class_doc").agg(F.countDistinct("doc_id").alias("copies"))
+    # stored, so that the next join can be split where a class has very many copies
+    counts, _ = store(
+        copies.join(linked, "class_doc", "left").select(
+            "class_doc", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")
+        ),
+        "ngram-link-counts",
+    )
+    n_links = F.when(F.col("n_shingles") > 0, F.col("n_links")).when(F.col("doc_id").isNotNull(), 0)
+    return found.join(counts, "class_doc", "left").select(*found.columns, n_links.cast("long").alias("n_links"))

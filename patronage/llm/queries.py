@@ -49,6 +49,12 @@ def op5_adaptive_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op5_adaptive_prefix_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same join with the number of links of every document."""
+    found = ngram_join.with_link_counts(read(spark, sf_dir, "documents"), words=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op6_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.cut_pieces(read(spark, sf_dir, "documents"), **public_vocabulary()))
 
@@ -93,6 +99,7 @@ QUERIES = {
     "op3_suffix_automata": op3_suffix_automata,
     "op4_url_reputation": op4_url_reputation,
     "op5_adaptive_prefix": op5_adaptive_prefix,
+    "op5_adaptive_prefix_links": op5_adaptive_prefix_links,
     "op6_best_fit": op6_best_fit,
     "op7_line_runs": op7_line_runs,
     "op8_winnowing": op8_winnowing,
