@@ -121,17 +121,15 @@ class LicenseIndex:
         for name, diagonals in sorted(hits.items()):
             template = self.rows[name]
             band = max(3, len(template) // 8)
-            diagonals.sort()
-            group = [diagonals[0]]
             mine = []
-            for diagonal in [*diagonals[1:], None]:
-                if diagonal is not None and diagonal - group[-1] <= band:
-                    group.append(diagonal)
-                    continue
-                matched, first, end = align(row, template, group[0] - band, group[-1] + band)
-                if matched >= least * len(template):
-                    mine.append(Match(name, matched, len(template), first, end))
-                group = [diagonal]
+            for low, high in _bands(sorted(diagonals), band, 2 * len(template) + 8 * band):
+                rest = row[max(0, low) : max(0, high + len(template))].copy()
+                while True:  # a band can hold several copies: each one's span is taken out
+                    matched, first, end = align(rest, template, low - max(0, low), high - max(0, low))
+                    if not matched or matched < least * len(template):
+                        break
+                    mine.append(Match(name, matched, len(template), first + max(0, low), end + max(0, low)))
+                    rest[first:end] = -1
             matches += self._apart(mine)
         return sorted(matches, key=lambda m: (m.first, m.end, m.template))
 
@@ -147,6 +145,22 @@ class LicenseIndex:
         return kept
 
 
+def _bands(diagonals: list[int], band: int, widest: int) -> Iterator[tuple[int, int]]:
+    """Lowest and highest diagonal of each chain of diagonals at most ``band`` apart; a chain of
+    more than ``widest`` is cut into bands of that width that overlap by half."""
+    start = last = diagonals[0]
+    for diagonal in [*diagonals[1:], None]:
+        if diagonal is not None and diagonal - last <= band:
+            last = diagonal
+            continue
+        low, high = start - band, last + band
+        while high - low > widest:
+            yield low, low + widest
+            low += widest // 2
+        yield low, high
+        start = last = diagonal
+
+
 def align(row: np.ndarray, template: np.ndarray, low: int, high: int) -> tuple[int, int, int]:
     """Best local alignment whose diagonals (place in the row less place in the template) lie
     from ``low`` to ``high``: matched words, and first and end place in the row.
