@@ -126,6 +126,91 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
     and not (word_chars < 2 * n_words) and not (word_chars > 20 * n_words) as kept
 from b"""
 
+# CRC-32 by its table, which is built from its polynomial.
+_CRC_TABLE = """crc_steps as (select list(v order by i) as t from (select i, list_reduce(list_prepend(i, range(8)),
+    lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as v from range(256) x(i)))"""
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of the UTF-8 bytes; ``t`` of crc_steps must be in reach."""
+    digit = "strpos('0123456789ABCDEF', substr(hex({0}), {1}, 1)) - 1"
+    first, second = digit.format(text, "k"), digit.format(text, "k + 1")
+    coded = f"list_transform(range(1, length(hex({text})), 2), lambda k: ({first}) * 16 + {second})"
+    step = "lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295, {coded}), {step}), 4294967295)"
+
+
+_OP12 = rf"""
+with recursive {_CRC_TABLE},
+runs as (select doc_id::varchar as id, {_LOWER.format("unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+'))")} as run from documents),
+marked as (select run, {_crc32("id || ':' || run")} as h from (select * from runs where length(run) >= 7), crc_steps),
+changed as (select case when h % 31 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word from marked),
+w as (select word, count(*) as n from changed where length(word) >= 7 group by word having count(*) >= 2),
+place as (select word, unnest(range(1, length(word) + 1)) as i from w),
+hole as (select word, substr(word, 1, i - 1) || '_' || substr(word, i + 1) as key, substr(word, 1, i - 1) || substr(word, i + 1) as shorter from place),
+near as (select a.word, b.word as other from hole a join hole b using (key) where a.word <> b.word
+  union select word, shorter from hole where shorter in (select word from w)
+  union select shorter, word from hole where shorter in (select word from w)),
+counted as (select a.word, count(*) as n_near, min(struct_pack(less := -b.n, word := b.word)) as best
+  from near a join w b on b.word = a.other group by a.word),
+judged as (select word, n, coalesce(n_near, 0) as n_near, case when -best.less >= 10 * n then best.word end as form,
+    case when -best.less >= 10 * n then -best.less end as form_n from w left join counted using (word)),
+chain as (select word, form as reached, 1 as steps from judged where form is not null
+  union all select c.word, j.form, steps + 1 from chain c join judged j on j.word = c.reached where j.form is not null),
+roots as (select word, max_by(reached, steps) as root from chain group by word)
+select word, form, coalesce(root, word) as root, n, n_near, form_n from judged left join roots using (word)"""
+
+_OP13 = rf"""
+with recursive {_CRC_TABLE},
+source as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    {_crc32("(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '))")} % 20 as kind from conversations, crc_steps),
+damaged as (select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(range(case kind when 0 then 0 when 3 then 2 else 1 end)) as copy from source),
+numbered as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as r,
+    row_number() over (partition by conv_id, role, text order by turn nulls first, copy) > 1 as again from damaged),
+judged as (select *, substr(role, 1, 1) as i, lag(substr(role, 1, 1)) over (partition by conv_id order by r) as i_before,
+    case when not regexp_matches(text, '[^ 	-
+]') then 'blank' when again then 'duplicate'
+      when not regexp_matches(text, '[.!?][ 	-
+]*$') then 'truncated' end as fault from numbered),
+counts as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (where fault = 'blank') as blank, count(*) filter (where fault = 'duplicate') as duplicate,
+    count(*) filter (where fault = 'truncated') as truncated,
+    count(*) filter (where i_before is not null and i_before || i not in ('su', 'ua', 'au')) as illegal,
+    count(*) as n from judged group by conv_id),
+-- grammar states: 0 nothing, 1 after s, 2 after u, 3 after a
+shift(state, i, following, role) as (values (0, 's', 1, null), (0, 'u', 2, 'user'), (1, 'u', 2, 'user'), (2, 'a', 3, 'assistant'), (3, 'u', 2, 'user')),
+inserts(state, following, price, edits, said) as (values (0, 0, 0, '', []::varchar[]), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []),
+  (0, 2, 5, 'I', ['user:']), (1, 2, 5, 'I', ['user:']), (2, 3, 5, 'I', ['assistant:']), (3, 2, 5, 'I', ['user:']),
+  (0, 3, 10, 'II', ['user:', 'assistant:']), (1, 3, 10, 'II', ['user:', 'assistant:'])),
+walk as (
+  select conv_id, 0::bigint as r, following as state, struct_pack(cost := price::bigint, audit := edits, said := said) as best
+  from (select distinct conv_id from conversations), inserts where inserts.state = 0
+  union all
+  select conv_id, r, state, min(best) as best from (
+    select m.conv_id, m.r, n.following as state,
+      struct_pack(cost := m.cost + n.price, audit := m.audit || n.edits, said := list_concat(m.said, n.said)) as best
+    from (
+      select w.conv_id, j.r, e.following as state, w.best.cost + e.price as cost, w.best.audit || e.edit as audit,
+        list_concat(w.best.said, e.said) as said
+      from walk w join judged j on j.conv_id is not distinct from w.conv_id and j.r = w.r + 1,
+      lateral (
+        select w.state as following, 2 as price, 'D' as edit, []::varchar[] as said
+        union all select s.following, case when j.fault is null then 0 else 5 end, 'K', [j.role || ':' || j.text]
+          from shift s where s.state = w.state and s.i = j.i and (j.fault is null or j.fault = 'truncated')
+        union all select s.following, case when j.fault is null then 1 else 6 end, 'R', [s.role || ':' || j.text]
+          from shift s where s.state = w.state and s.role is not null and (j.fault is null or j.fault = 'truncated')
+      ) e
+    ) m join inserts n on n.state = m.state
+  ) group by conv_id, r, state),
+ends as (select w.conv_id, min(w.best) as best from walk w left join counts c on c.conv_id is not distinct from w.conv_id
+  where w.r = coalesce(c.n, 0) and w.state in (0, 3) group by w.conv_id)
+select e.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, best.cost as cost, best.audit as audit,
+  sha256(array_to_string(best.said, chr(10))) as repaired_sha256
+from ends e left join counts c on c.conv_id is not distinct from e.conv_id"""
+
 ORACLES = {
     "op4_url_reputation": _op4(),
     "op3_suffix_automata": _OP3,
@@ -133,4 +218,6 @@ ORACLES = {
     "op7_line_runs": _OP7,
     "op8_winnowing": _OP8,
     "op9_rule_ledger": _OP9,
+    "op12_permuterm": _OP12,
+    "op13_glr_repair": _OP13,
 }

@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm import decontaminate, language_id, license_scan, line_dedup, ngram_join, packing, quality_rules, substring_dedup, toxicity, url_filter
+from patronage.llm import (
+    conversation_repair,
+    decontaminate,
+    language_id,
+    license_scan,
+    line_dedup,
+    ngram_join,
+    packing,
+    private_data,
+    quality_rules,
+    spelling_variants,
+    substring_dedup,
+    toxicity,
+    url_filter,
+)
+from patronage.llm.private_scan import STRICT
 from patronage.llm.common import read
 
 
@@ -93,6 +108,32 @@ def op10_recurrent_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= toxicity.CUT).cast("int"))
 
 
+def op11_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def written(spans: str):
+        parts = F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")))
+        return F.array_join(parts, ",")
+
+    def count(kind: str):
+        return F.size(F.filter("private.strict", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    found = private_data.find_private(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *(count(kind) for kind in STRICT),
+        F.sha2(written("private.strict"), 256).alias("base_sha256"),
+        written("private.spans").alias("spans"),
+    )
+
+
+def op12_permuterm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(read(spark, sf_dir, "documents"))
+
+
+def op13_glr_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation_repair.damage(read(spark, sf_dir, "conversations"))
+    return conversation_repair.repair(damaged).withColumnRenamed("hash", "repaired_sha256")
+
+
 QUERIES = {
     "op1_rank_order": op1_rank_order,
     "op2_license_scan": op2_license_scan,
@@ -105,4 +146,7 @@ QUERIES = {
     "op8_winnowing": op8_winnowing,
     "op9_rule_ledger": op9_rule_ledger,
     "op10_recurrent_toxicity": op10_recurrent_toxicity,
+    "op11_weak_supervision": op11_weak_supervision,
+    "op12_permuterm": op12_permuterm,
+    "op13_glr_repair": op13_glr_repair,
 }
