@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from patronage.llm.common import keyed, store
+from patronage.llm.common import keyed, remove_folders, store
 from patronage.llm.substring_dedup import Runs, WordHashes
 from patronage.models.density import connected_components
 
@@ -162,19 +162,19 @@ def _prefixes(rows: DataFrame, n: int, percent: int, bits: int, sketch: np.ndarr
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """(u, v): document ids of the pairs (a, b) of classes whose sets are similar enough.
+    """(u, v): digests of the sets of the pairs (a, b) of classes that are similar enough.
 
-    ``texts`` has class, doc_id and text of one document per set, more than one row only if two
-    sets have one class number; then all of them are compared.
+    ``texts`` has class, digest and text of one document per set, more than one row of a class
+    only if two sets have one class number; then all of them are compared.
     """
-    left = texts.select(F.col("class").alias("a"), F.col("doc_id").alias("u"), F.col("text").alias("left"))
-    right = texts.select(F.col("class").alias("b"), F.col("doc_id").alias("v"), F.col("text").alias("right"))
+    left = texts.select(F.col("class").alias("a"), F.col("digest").alias("u"), F.col("text").alias("left"))
+    right = texts.select(F.col("class").alias("b"), F.col("digest").alias("v"), F.col("text").alias("right"))
     both = pairs.select("a", "b").join(right, "b").join(left, "a").select("u", "v", "left", "right")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, last, held = WordHashes(), None, np.zeros(0, "int64")
         for batch in batches:
-            linked: list[tuple[int, int]] = []
+            linked: list[tuple[bytes, bytes]] = []
             for u, v, one, other in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if u != last:
                     last, held = u, shingles(one, n, hashes)
@@ -183,9 +183,9 @@ def _verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
                 if 100 * common >= percent * (len(held) + len(tokens) - common):
                     linked.append((u, v))
             columns = list(zip(*linked, strict=True)) or [[], []]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["u", "v"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["u", "v"])
 
-    return both.mapInArrow(compare, "u long, v long")
+    return both.mapInArrow(compare, "u binary, v binary")
 
 
 LEVEL, RANK = "(mark % 4)", "(mark div 4)"
@@ -201,13 +201,19 @@ def _listed(percent: int) -> Column:
     return F.expr(f"least(size, size - ({percent} * size + 99) div 100 + {LEVEL})")
 
 
-def _met(listed: DataFrame, by: str, percent: int) -> DataFrame:
-    """Rows whose token is listed with two values of ``by`` or more, with ``met``, how many such
-    tokens the class has, and ``spare``, how many of its tokens are not listed."""
-    shared = listed.groupBy("token").agg(F.min(by).alias("low"), F.max(by).alias("high")).where("low <> high").select("token")
-    rows = listed.join(shared, "token", "left_semi")
+def _shared(listed: DataFrame, by: str) -> DataFrame:
+    """Rows whose token is listed with two values of ``by`` or more. The rows are dealt out by token
+    once, and both ends of the values are read off where they lie."""
+    token = Window.partitionBy("token")
+    ends = listed.select("*", F.min(by).over(token).alias("low"), F.max(by).over(token).alias("high"))
+    return ends.where("low <> high").drop("low", "high")
+
+
+def _met(shared: DataFrame, percent: int) -> DataFrame:
+    """Adds ``met``, how many of its listed tokens the class shares, and ``spare``, how many of its
+    tokens are not listed."""
     met = F.count(F.lit(1)).over(Window.partitionBy("class")).cast("int")
-    return rows.withColumns({"met": met, "spare": (F.col("size") - _listed(percent)).cast("int")})
+    return shared.withColumns({"met": met, "spare": (F.col("size") - _listed(percent)).cast("int")})
 
 
 def _can_link(percent: int, sizes: Column, common: Column) -> Column:
@@ -241,11 +247,10 @@ def _first_pairs(listed: DataFrame, percent: int) -> DataFrame:
 def _second_pairs(listed: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """All pairs (a, b) of classes of different groups that share as many prefix tokens as their
     levels say. Groups meet before their classes do."""
-    rows, _ = store(
-        listed.drop("met", "spare").join(groups, "class", "left").withColumn("group", F.coalesce("group", "class")),
-        "ngram-grouped",
-    )
-    rows, _ = store(_met(rows, "group", percent).withColumn("level", F.expr(LEVEL)), "ngram-mixed")
+    grouped = listed.drop("met", "spare").join(groups, "class", "left").withColumn("group", F.coalesce("group", "class"))
+    grouped, folder = store(grouped, "ngram-grouped")
+    rows, _ = store(_met(_shared(grouped, "group"), percent).withColumn("level", F.expr(LEVEL)), "ngram-mixed")
+    remove_folders(rows.sparkSession, [folder])
     larger = rows.select(*(F.col(c).alias(f"b_{c}") for c in ("class", "size", "place", "level", "group", "met", "spare")), "token")
     smaller = rows.where(_first_places(percent)).select(
         "token",
@@ -284,57 +289,76 @@ def _second_pairs(listed: DataFrame, groups: DataFrame, percent: int) -> DataFra
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bits: int = SKETCH_BITS) -> DataFrame:
-    """doc_id, text_key, n_shingles, class_doc and component_id per row of ``docs``.
-
-    Documents whose sets of ``words``-word runs have a Jaccard similarity of ``percent`` in a
-    hundred or more are linked; component_id is the smallest doc_id that links lead to, and
-    class_doc the smallest doc_id with the same set. Documents without words are linked with
-    nothing. Of rows that repeat a doc_id with different texts, the one with the smallest text
-    hash stands for the document in links. Rows without doc_id have no component. Jobs run
-    while intermediate tables are stored.
+    """doc_id, text_key, n_shingles, set_id, class_doc, component_id and component_key per row of
+    ``docs``.
+
+    Rows whose sets of ``words``-word runs have a Jaccard similarity of ``percent`` in a hundred or
+    more are linked. A row is known by its doc_id and its text's key, so rows that repeat an id with
+    another text are compared, and linked, each by its own text. ``set_id`` names the row's set and
+    class_doc is the smallest doc_id that has it; component_id and component_key are the smallest
+    (doc_id, text_key) that links lead to. Rows without words are linked with nothing (their set_id
+    is null). Rows without doc_id have no component and link nothing. Jobs run while intermediate
+    tables are stored; those that the result does not read are deleted again.
+
+    A task holds one batch of texts and the tokens of one text at a time.
     """
-    rows = keyed(docs)
+    spark, rows = docs.sparkSession, keyed(docs)
+    done: list[str] = []
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        table, folder = store(df, label)
+        done.append(folder)
+        return table
+
     parts, _ = store(_sets_and_sketch(rows, words, bits), "ngram-sets")
     sets = parts.where("chunk is null").select("doc_id", "text_key", "size", "digest")
-    listed, _ = store(_prefixes(rows.where("doc_id is not null"), words, percent, bits, _sketch(parts, bits)), "ngram-prefixes")
-    shared = listed.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-    listed, _ = store(
-        listed.join(shared, "token", "left_semi").dropDuplicates(["token", "class"]), "ngram-shared"
-    )
-    met, _ = store(_met(listed, "class", percent), "ngram-met")
-    spoken = sets.where("doc_id is not null and size > 0").groupBy("doc_id").agg(F.min(F.struct("text_key", "digest")).alias("one"))
-    spoken = spoken.select("doc_id", "one.text_key", "one.digest")
-    firsts, _ = store(
-        spoken.groupBy("digest").agg(F.min(F.struct("doc_id", "text_key")).alias("one")).select("digest", "one.*"), "ngram-classes"
-    )
+    listed = _prefixes(rows.where("doc_id is not null"), words, percent, bits, _sketch(parts, bits))
+    # tasks list a class each; what they agree on lies together already
+    shared = keep(_shared(listed, "class").dropDuplicates(["token", "class"]), "ngram-shared")
+    met = keep(_met(shared, percent), "ngram-met")
+    spoken = sets.where("doc_id is not null and size > 0")
+    firsts = spoken.groupBy("digest").agg(F.min(F.struct("doc_id", "text_key")).alias("one")).select("digest", "one.*")
     number = F.conv(F.substring(F.hex("digest"), 1, 16), 16, -10).cast("long")
-    classes = firsts.select("doc_id", "text_key", number.alias("class"))
-    first, _ = store(_first_pairs(met, percent), "ngram-first-pairs")
+    classes, _ = store(firsts.withColumn("class", number), "ngram-classes")
+    first = keep(_first_pairs(met, percent), "ngram-first-pairs")
 
     def texts_of(pairs: DataFrame, label: str) -> DataFrame:
-        """class, doc_id and text of what is to be compared."""
+        """class, digest and text of what is to be compared."""
         asked = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes, "class")
-        found = rows.join(asked, ["doc_id", "text_key"]).select("class", "doc_id", "text")
-        return store(found.dropDuplicates(["class", "doc_id"]), label)[0]
-
-    links, _ = store(_verify(first, texts_of(first, "ngram-first-texts"), words, percent), "ngram-links")
-    by_class = classes.select("class", F.col("doc_id").alias("node"))
-    rooted = connected_components(by_class.select("node"), links)
-    # a group's name is a document, a lone class's its own number: told apart by a hash
-    groups = rooted.join(by_class, "node").select("class", F.xxhash64(F.lit(9), "root").alias("group"))
-    second, _ = store(_second_pairs(met, groups, percent), "ngram-second-pairs")
-    more, _ = store(_verify(second, texts_of(second, "ngram-second-texts"), words, percent), "ngram-more-links")
-    members = spoken.join(firsts.select("digest", F.col("doc_id").alias("class_doc")), "digest").select("doc_id", "class_doc")
-    roots = connected_components(firsts.select(F.col("doc_id").alias("node")), links.union(more))
+        found = rows.join(asked, ["doc_id", "text_key"]).select("class", "digest", "text")
+        return keep(found.dropDuplicates(["class", "digest"]), label)
+
+    links = keep(_verify(first, texts_of(first, "ngram-first-texts"), words, percent), "ngram-links")
+    nodes = classes.select(F.col("digest").alias("node"))
+    rooted = connected_components(nodes, links).where("node <> root")
+    # a group's name is a digest, a lone class's its own number: told apart by a hash
+    named = rooted.select("node", "root").union(rooted.select(F.col("root").alias("node"), "root")).distinct()
+    groups = named.join(classes, named["node"] == classes["digest"]).select("class", F.xxhash64(F.lit(9), "root").alias("group"))
+    second = keep(_second_pairs(met, groups, percent), "ngram-second-pairs")
+    more = keep(_verify(second, texts_of(second, "ngram-second-texts"), words, percent), "ngram-more-links")
+    roots = connected_components(nodes, links.union(more))
+    placed = classes.join(roots, classes["digest"] == roots["node"]).select("digest", "doc_id", "text_key", "root")
+    least = placed.groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("least"))
     # stored, so that the next join can be split where a class has very many copies
-    roots, _ = store(roots.select(F.col("node").alias("class_doc"), F.col("root").alias("component")), "ngram-roots")
-    placed = members.join(roots, "class_doc")
-    return sets.join(placed, "doc_id", "left").select(
+    roots, _ = store(
+        placed.join(least, "root").select(
+            "digest",
+            F.col("doc_id").alias("class_doc"),
+            F.col("least.doc_id").alias("component"),
+            F.col("least.text_key").alias("key"),
+        ),
+        "ngram-roots",
+    )
+    remove_folders(spark, done)
+    known = F.col("doc_id").isNotNull()
+    return sets.join(roots, "digest", "left").select(
         "doc_id",
         "text_key",
         F.col("size").alias("n_shingles"),
-        F.when(F.col("size") > 0, F.col("class_doc")).otherwise(F.col("doc_id")).alias("class_doc"),
-        F.when(F.col("size") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(F.col("size") > 0, F.col("digest")).alias("set_id"),
+        F.when(known, F.coalesce("class_doc", "doc_id")).alias("class_doc"),
+        F.when(known, F.coalesce("component", "doc_id")).alias("component_id"),
+        F.when(known, F.coalesce("key", "text_key")).alias("component_key"),
     )
 
 
@@ -358,27 +382,29 @@ def common_tokens(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray
 
 
 def _compared(rows: DataFrame, found: DataFrame, words: int, percent: int, pairs: bool) -> DataFrame:
-    """All links between classes: (u, v, common) with u < v, or (class_doc, linked), how many
-    documents the classes linked to one have, in parts to be summed."""
-    spoken = found.where("doc_id is not null and n_shingles > 0")
-    classes = spoken.groupBy("class_doc").agg(
+    """All links between different sets of one component: (u, v, common) with the documents
+    u < v that stand for the sets, or (set_id, linked), how many rows the sets linked to one have,
+    in parts to be summed."""
+    spoken = found.where("doc_id is not null and set_id is not null")
+    classes = spoken.groupBy("set_id").agg(
         F.first("component_id").alias("component"),
-        F.countDistinct("doc_id").alias("copies"),
-        F.min(F.when(F.col("doc_id") == F.col("class_doc"), F.col("text_key"))).alias("text_key"),
+        F.first("component_key").alias("component_key"),
+        F.countDistinct("doc_id", "text_key").alias("copies"),
+        F.min(F.struct("doc_id", "text_key")).alias("one"),
     )
     # stored, so that the next join can be split where a component has very many classes
-    classes, _ = store(classes, "ngram-class-sizes")
+    classes, _ = store(classes.select("*", "one.*").drop("one"), "ngram-class-sizes")
     blocks = F.ceil(F.col("classes") / BLOCK).cast("int")
-    sizes = classes.groupBy("component").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
-    placed = classes.join(sizes, "component").withColumn("blocks", blocks)
-    placed = placed.withColumn("block", F.pmod(F.xxhash64(F.lit(23), "class_doc"), F.col("blocks")).cast("int"))
-    texts = rows.select("doc_id", "text_key", "text").join(
-        placed.withColumnRenamed("class_doc", "doc_id"), ["doc_id", "text_key"]
+    whole = ["component", "component_key"]
+    sizes = classes.groupBy(*whole).agg(F.count(F.lit(1)).alias("classes")).where("classes > 1")
+    placed = classes.join(sizes, whole).withColumn("blocks", blocks)
+    placed = placed.withColumn("block", F.pmod(F.xxhash64(F.lit(23), "set_id"), F.col("blocks")).cast("int"))
+    texts = rows.select("doc_id", "text_key", "text").join(placed, ["doc_id", "text_key"])
+    texts, _ = store(texts.dropDuplicates(["set_id"]), "ngram-class-texts")
+    columns = [*whole, "doc_id", "set_id", "copies", "text", "block"]
+    met = texts.select(*columns, F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")).select(
+        *columns, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
     )
-    texts, _ = store(texts.dropDuplicates(["doc_id"]), "ngram-class-texts")
-    met = texts.select(
-        "component", "doc_id", "copies", "text", "block", F.explode(F.expr("sequence(0, blocks - 1)")).alias("other")
-    ).select("component", "doc_id", "copies", "text", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
 
     def compare(table: pa.Table) -> pa.Table:
         hashes = WordHashes()
@@ -389,19 +415,19 @@ def _compared(rows: DataFrame, found: DataFrame, words: int, percent: int, pairs
         common = common_tokens([sets[x] for x in one], [sets[x] for x in other])
         total = np.array([len(x) for x in sets])
         linked = 100 * common >= percent * (total[one][:, None] + total[other][None, :] - common)
-        linked &= docs[one][:, None] != docs[other][None, :]
+        linked &= one[:, None] != other[None, :]
         if pairs:
-            a, b = np.nonzero(linked & (docs[one][:, None] < docs[other][None, :]) if i == j else linked)
+            a, b = np.nonzero(linked & (one[:, None] < other[None, :]) if i == j else linked)
             u, v = docs[one[a]], docs[other[b]]
             return pa.table({"u": np.minimum(u, v), "v": np.maximum(u, v), "common": common[a, b]})
         sums = np.zeros(len(docs), "int64")
         sums[one] += linked.astype("int64") @ copies[other]
         if i != j:
             sums[other] += linked.T.astype("int64") @ copies[one]
-        return pa.table({"class_doc": docs, "linked": sums})
+        return pa.table({"set_id": table.column("set_id"), "linked": pa.array(sums)})
 
-    schema = "u long, v long, common long" if pairs else "class_doc long, linked long"
-    return met.groupBy("component", "i", "j").applyInArrow(compare, schema)
+    schema = "u long, v long, common long" if pairs else "set_id binary, linked long"
+    return met.groupBy(*whole, "i", "j").applyInArrow(compare, schema)
 
 
 def near_duplicate_links(
@@ -418,15 +444,15 @@ def with_link_counts(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
     """:func:`near_duplicates` with n_links, how many other documents the document is linked to
     itself. Every pair of different sets in a component is compared; NULL without doc_id."""
     found, _ = store(near_duplicates(docs, words, percent, bits), "ngram-found")
-    linked = _compared(keyed(docs), found, words, percent, pairs=False).groupBy("class_doc").agg(F.sum("linked").alias("linked"))
-    spoken = found.where("doc_id is not null and n_shingles > 0")
-    copies = spoken.groupBy("class_doc").agg(F.countDistinct("doc_id").alias("copies"))
+    linked = _compared(keyed(docs), found, words, percent, pairs=False).groupBy("set_id").agg(F.sum("linked").alias("linked"))
+    spoken = found.where("doc_id is not null and set_id is not null")
+    copies = spoken.groupBy("set_id").agg(F.countDistinct("doc_id", "text_key").alias("copies"))
     # stored, so that the next join can be split where a class has very many copies
     counts, _ = store(
-        copies.join(linked, "class_doc", "left").select(
-            "class_doc", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")
+        copies.join(linked, "set_id", "left").select(
+            "set_id", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links")
         ),
         "ngram-link-counts",
     )
     n_links = F.when(F.col("n_shingles") > 0, F.col("n_links")).when(F.col("doc_id").isNotNull(), 0)
-    return found.join(counts, "class_doc", "left").select(*found.columns, n_links.cast("long").alias("n_links"))
+    return found.join(counts, "set_id", "left").select(*found.columns, n_links.cast("long").alias("n_links"))

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -7,6 +8,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from patronage.llm import ngram_join, packing, substring_dedup
 from patronage.llm.queries import public_vocabulary
 from patronage.llm.suffix_automaton import SuffixAutomaton
@@ -163,30 +165,60 @@ def test_segments_cover_all_windows_once_and_agree_on_equal_windows():
 # --- n-gram join ------------------------------------------------------------------------
 
 
-def components(rows, n, percent):
-    sets, one = {}, {}
+def groups_of_rows(rows, n, percent):
+    """Row (doc_id, text) to the frozen set of rows that links lead to; rows without id are alone."""
+    sets = {}
     for i, text in rows:
         words = (text or "").encode().lower().split()
         size = min(n, len(words))
-        found = {tuple(words[k : k + size]) for k in range(len(words) - size + 1)} if words else set()
-        one.setdefault((i, text), found)
-        if i is not None:
-            sets[i] = found
-    root = {i: i for i in sets}
-
-    def find(i):
-        while root[i] != i:
-            i = root[i]
-        return i
-
-    names = sorted(sets)
-    for x in names:
-        for y in names:
-            both = len(sets[x] & sets[y])
-            if x < y and both and 100 * both >= percent * len(sets[x] | sets[y]):
-                a, b = sorted((find(x), find(y)))
-                root[b] = a
-    return sorted((str(i), len(one[i, t]), str(find(i) if i is not None else None)) for i, t in rows)
+        sets[i, text] = {tuple(words[k : k + size]) for k in range(len(words) - size + 1)} if words else set()
+    root = {r: r for r in sets}
+
+    def find(r):
+        while root[r] != r:
+            r = root[r]
+        return r
+
+    names = [r for r in sets if r[0] is not None]
+    for x, y in itertools.combinations(names, 2):
+        both = len(sets[x] & sets[y])
+        if both and 100 * both >= percent * len(sets[x] | sets[y]):
+            root[find(y)] = find(x)
+    members = {}
+    for r in sets:
+        members.setdefault(find(r), set()).add(r)
+    return {r: frozenset(members[find(r)]) for r in sets}, {r: len(s) for r, s in sets.items()}
+
+
+def components(rows, n, percent):
+    groups, sizes = groups_of_rows(rows, n, percent)
+    return sorted(
+        (str(i), sizes[i, t], str(None if i is None else min(j for j, _ in groups[i, t] if j is not None))) for i, t in rows
+    )
+
+
+def test_rows_that_share_an_id_are_told_apart(spark, table):
+    chance = random.Random(12)
+
+    def prose():
+        return " ".join(f"p{chance.randrange(10**6)}" for _ in range(40))
+
+    a, b, c, d, e, f = (prose() for _ in range(6))
+    rows = [
+        (1, a), (1, b),  # neither has a copy
+        (2, c), (2, d), (3, d),  # one has
+        (4, e), (4, f), (5, e + " more"), (6, f + " more"), (7, f + " other"),  # both have, near ones
+        (8, a.upper()), (9, b), (9, b + " end"),  # copies of the first two under other ids, and one with itself
+    ]
+    found = ngram_join.near_duplicates(table(rows), 5, 80, bits=14).collect()
+    got = sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in found)
+    assert got == components(rows, 5, 80)
+    kept = corpus_pipeline.keep_one_of_near_duplicates(spark, table(rows), "").collect()
+    groups, _ = groups_of_rows(rows, 5, 80)
+    stayed = [(r["doc_id"], r["text"]) for r in kept]
+    assert {groups[r] for r in stayed} == set(groups.values()) and len(stayed) == len(set(groups.values()))
+    assert all(i == min(j for j, _ in groups[i, t]) for i, t in stayed)
+    assert {(1, a), (1, b), (2, c), (2, d), (4, e), (4, f)} == set(stayed)
 
 
 @pytest.mark.parametrize("n, percent", [(4, 85), (2, 50), (5, 80)])

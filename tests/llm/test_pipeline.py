@@ -9,7 +9,7 @@ import pytest
 import corpus_pipeline
 from patronage.llm.common import store
 
-from .test_packing_substrings_join import best_fit_decreasing, components
+from .test_packing_substrings_join import best_fit_decreasing, groups_of_rows
 from .test_rules_lines_leaks_urls import deduplicated, leaks
 from .test_text_models import code, listed, ranked
 
@@ -60,8 +60,9 @@ def test_every_stage_equals_brute_force(spark, folder):
     assert all(r["n_chars"] == len(r["text"]) and r["rest"] == "rest" for r in docs.collect())
 
     found = rows_of(docs)
-    roots = {i: root for i, _, root in components(found, 5, 80)}
-    wanted = list(dict.fromkeys((i, t) for i, t in found if roots[str(i)] in (str(i), "None")))
+    groups, _ = groups_of_rows(found, 5, 80)
+    firsts = {r: min((j for j, _ in group if j is not None), default=None) for r, group in groups.items()}
+    wanted = list(dict.fromkeys((i, t) for i, t in found if firsts[i, t] == i))
     docs, _ = store(stages["ngram_jaccard_join"](spark, docs, path), "t3")
     same(rows_of(docs), wanted)
     assert docs.columns == columns and len(wanted) < len(found)
