@@ -46,11 +46,13 @@ def _without(docs: DataFrame, gone: DataFrame, once: bool = False) -> DataFrame:
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that are linked by five-word Jaccard similarities of 0.8 or more, the one
-    with the smallest doc_id stays. Documents without words or doc_id stay. Of rows that repeat
-    both id and text, one stays."""
+    """Of rows that are linked by five-word Jaccard similarities of 0.8 or more, one with the
+    smallest doc_id stays. A row is its doc_id and its text, so a text goes only if it is linked
+    itself, whatever else has its id. Rows without words or doc_id stay. Of rows that repeat both
+    id and text, one stays."""
     found = ngram_join.near_duplicates(docs)
-    gone = found.where("component_id < doc_id").select("doc_id", "text_key").distinct()
+    stays = (F.col("doc_id") == F.col("component_id")) & (F.col("text_key") == F.col("component_key"))
+    gone = found.where(~stays).select("doc_id", "text_key").distinct()
     return _without(docs, gone, once=True)
 
 
