@@ -7,6 +7,7 @@ import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,6 +62,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return stored
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows written below the checkpoint folder as a table and read back. For loops of joins:
+    a checkpoint carries the constraints of the plan it cuts, which such loops multiply."""
+    prepare_checkpoint_dir(df.sparkSession)
+    folder = f"{df.sparkSession.sparkContext.getCheckpointDir()}/stored-{uuid4().hex}"
+    df.write.parquet(folder)
+    written = _written.get()
+    if written is not None:
+        written.append(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 @contextmanager
 def released(spark: SparkSession) -> Iterator[None]:
     """Delete the checkpoints that are written in the block when it ends. For jobs that write
