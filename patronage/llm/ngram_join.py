@@ -322,20 +322,23 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     classes, _ = store(firsts.withColumn("class", number), "ngram-classes")
     first = keep(_first_pairs(met, percent), "ngram-first-pairs")
 
-    def texts_of(pairs: DataFrame, label: str) -> DataFrame:
+    # texts move once, for both rounds: those of all classes that share a token
+    asked = met.select("class").distinct().join(classes, "class")
+    texts = rows.join(asked, ["doc_id", "text_key"]).select("class", "digest", "text")
+    texts = keep(texts.dropDuplicates(["class", "digest"]), "ngram-texts")
+
+    def texts_of(pairs: DataFrame) -> DataFrame:
         """class, digest and text of what is to be compared."""
-        asked = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(classes, "class")
-        found = rows.join(asked, ["doc_id", "text_key"]).select("class", "digest", "text")
-        return keep(found.dropDuplicates(["class", "digest"]), label)
+        return texts.join(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct(), "class", "left_semi")
 
-    links = keep(_verify(first, texts_of(first, "ngram-first-texts"), words, percent), "ngram-links")
+    links = keep(_verify(first, texts_of(first), words, percent), "ngram-links")
     nodes = classes.select(F.col("digest").alias("node"))
     rooted = connected_components(nodes, links).where("node <> root")
     # a group's name is a digest, a lone class's its own number: told apart by a hash
     named = rooted.select("node", "root").union(rooted.select(F.col("root").alias("node"), "root")).distinct()
     groups = named.join(classes, named["node"] == classes["digest"]).select("class", F.xxhash64(F.lit(9), "root").alias("group"))
     second = keep(_second_pairs(met, groups, percent), "ngram-second-pairs")
-    more = keep(_verify(second, texts_of(second, "ngram-second-texts"), words, percent), "ngram-more-links")
+    more = keep(_verify(second, texts_of(second), words, percent), "ngram-more-links")
     roots = connected_components(nodes, links.union(more))
     placed = classes.join(roots, classes["digest"] == roots["node"]).select("digest", "doc_id", "text_key", "root")
     least = placed.groupBy("root").agg(F.min(F.struct("doc_id", "text_key")).alias("least"))
