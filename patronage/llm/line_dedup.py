@@ -32,13 +32,11 @@ def line_hash(line: Column) -> Column:
 
 
 def long_lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(doc_id, text_key, line_hash): each long line key of a row once."""
-    keys = F.array_distinct(F.transform(F.split(F.col("text"), "\n"), line_key))
-    return (
-        docs.where("doc_id is not null")
-        .select("doc_id", "text_key", F.explode(F.filter(keys, lambda k: F.char_length(k) >= min_chars)).alias("key"))
-        .select("doc_id", "text_key", F.unhex(F.md5("key")).alias("line_hash"))
-    )
+    """(doc_id, text_key, place, line_hash) of every long line; places count from 0."""
+    lines = docs.where("doc_id is not null").select("doc_id", "text_key", F.posexplode(F.split("text", "\n")).alias("place", "line"))
+    keyed_lines = lines.select("doc_id", "text_key", "place", line_key(F.col("line")).alias("key"))
+    long = keyed_lines.where(F.char_length("key") >= min_chars)
+    return long.select("doc_id", "text_key", "place", F.unhex(F.md5("key")).alias("line_hash"))
 
 
 class LineRuns:
@@ -107,13 +105,13 @@ def repeated_lines(
     batches: int = BATCHES,
     fanout: int = FANOUT,
 ) -> DataFrame:
-    """(doc_id, text_key, taken): hashes of the lines that a row loses; see ``dedup_lines``."""
+    """(doc_id, text_key, taken): places of the lines that a row loses, in order; see ``dedup_lines``."""
     spark = docs.sparkSession
     lines = long_lines(keyed(docs), min_chars)
     staged = shared_folder(spark, "line-batches")
     batch = F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int")
     lines.withColumn("batch", batch).write.partitionBy("batch").parquet(staged)
-    schema = "doc_id long, text_key long, line_hash binary, batch int"
+    schema = "doc_id long, text_key long, place int, line_hash binary, batch int"
     stored = spark.read.schema(schema).parquet(staged)
     runs = LineRuns(spark, fanout)
     for number in range(batches):
@@ -126,7 +124,7 @@ def repeated_lines(
         .join(salted, ["line_hash", "salt"])
         .where("doc_id < last_doc")
         .groupBy("doc_id", "text_key")
-        .agg(F.collect_set("line_hash").alias("taken"))
+        .agg(F.array_sort(F.collect_set("place")).alias("taken"))
         .checkpoint()
     )
     runs.drop()
@@ -142,9 +140,14 @@ def cleaned(docs: DataFrame, taken: DataFrame, rest: bool = False) -> DataFrame:
     rows = rows.join(taken, same_row(rows, taken), "left").select(
         rows["doc_id"], rows["text_key"], F.split(F.coalesce(rows["text"], F.lit("")), "\n").alias("lines"), "taken", *more
     )
-    kept = F.when(F.col("taken").isNull(), F.col("lines")).otherwise(
-        F.filter("lines", lambda x: ~F.array_contains("taken", line_hash(x)))
+    # what lies between the places that go, each line copied once
+    ends = F.concat(F.array(F.lit(-1)), "taken", F.array(F.size("lines")))
+    between = F.transform(
+        F.sequence(F.lit(0), F.size("taken")),
+        lambda i: F.slice("lines", F.get("ends", i) + 2, F.get("ends", i + 1) - F.get("ends", i) - 1),
     )
+    kept = F.when(F.col("taken").isNull(), F.col("lines")).otherwise(F.flatten(between))
+    rows = rows.select("*", F.when(F.col("taken").isNotNull(), ends).alias("ends"))
     return rows.select("doc_id", "text_key", "lines", kept.alias("kept"), *names).select(
         "doc_id",
         "text_key",
@@ -169,6 +172,7 @@ def dedup_lines(
     their lines in the largest doc_id only. Null and empty texts are one empty line. Rows that
     share a doc_id count as one document, and each is cleaned; rows without doc_id are not
     counted and stay whole. Jobs run while the runs are written. With ``rest``, the other
-    columns of ``docs`` come along in a struct.
+    columns of ``docs`` come along in a struct. A task holds one text and its lines at a time;
+    lines are taken out by place, so a text costs what its length says, however many go.
     """
     return cleaned(docs, repeated_lines(docs, min_chars, min_docs, batches, fanout), rest)

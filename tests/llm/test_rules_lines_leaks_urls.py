@@ -188,3 +188,15 @@ def test_registered_domain(spark, host, domain, suffix):
 def test_long_lines_are_named_by_128_bits(spark):
     row = spark.createDataFrame([("\t Ab É ",)], "line string").select(line_dedup.line_hash(F.col("line"))).first()
     assert bytes(row[0]) == hashlib.md5("ab É".encode()).digest()
+
+
+def test_very_long_texts_of_repeated_lines(spark, table):
+    """Three equal texts of 60,000 lines; each line stays in the last document that has it."""
+    import time
+
+    text = "\n".join(f"boilerplate line number {i}" for i in range(60_000))
+    start = time.time()
+    found = {r["doc_id"]: r for r in line_dedup.dedup_lines(table([(1, text), (2, text), (3, text), (4, "short\n" + text[:50])])).collect()}
+    assert [found[i]["n_dropped"] for i in (1, 2, 3, 4)] == [60_000, 60_000, 1, 0]
+    assert found[1]["text"] == "" and found[3]["text"] == text.split("\n", 1)[1] and found[4]["n_lines"] == 3
+    assert time.time() - start < 90
