@@ -19,7 +19,7 @@ from patronage.functions import constants as k
 from patronage.functions.expr import hash_fraction
 from patronage.models.metrics import classification_metrics, regression_metrics
 from patronage.operators.features import drop_incomplete, require_rows
-from patronage.operators.splits import train_test
+from patronage.operators.splits import stratified_folds, train_test
 
 CLASSIFICATION, REGRESSION = "classification", "regression"
 
@@ -126,9 +126,13 @@ def cross_validate(
     seed: int = 42,
     key: str = "customer_id",
 ) -> dict[str, float]:
-    """Mean and standard deviation of accuracy or R2 over folds chosen by key hash."""
+    """Mean and standard deviation of accuracy or R2 over folds: by key hash for a number, and for a
+    class dealt out within it, so that every fold has its share of a rare one."""
     data = drop_incomplete(_numeric(df, features, target, kind, [key]), [target])
-    fold = F.floor(hash_fraction(key, seed) * folds).cast("int")
+    if kind == REGRESSION:
+        data = data.withColumn("fold", F.floor(hash_fraction(key, seed) * folds).cast("int"))
+    else:
+        data = stratified_folds(data, target, folds, seed, key)
     estimator = _estimator(kind, features, target, trees, depth, seed)
     if kind == REGRESSION:
         evaluator, name = RegressionEvaluator(labelCol=target, metricName="r2"), "cv_r2"
@@ -143,7 +147,7 @@ def cross_validate(
         foldCol="fold",
         parallelism=2,
     )
-    fitted = validator.fit(data.withColumn("fold", fold))
+    fitted = validator.fit(data)
     return {f"{name}_mean": fitted.avgMetrics[0], f"{name}_std": fitted.stdMetrics[0]}
 
 

@@ -62,16 +62,41 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _needed(cover: ball_cover.BallCover, count: int) -> DataFrame:
-    """Nodes with ``need``: within this distance each of their points has ``count`` points. A ball
-    with that many is no wider than two radii."""
+    """Nodes with ``need``: within this distance each of their points has ``count`` points.
+
+    For a leaf with so many of its own, the largest distance that its points need among
+    themselves; for a smaller one, two radii of the smallest ball around it that has enough. A ball
+    needs what its leaves need.
+    """
+
+    def among(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            needs = []
+            for x, n in zip(batch.column("x"), batch.column("n"), strict=True):
+                weights, away = np.array(n.values), _distances(_matrix(x.values), _matrix(x.values))
+                order = np.argsort(away, axis=1, kind="stable")
+                reached = np.cumsum(weights[order], axis=1) >= count
+                place = np.where(reached.any(axis=1), reached.argmax(axis=1), 0)
+                found = np.take_along_axis(away, np.take_along_axis(order, place[:, None], 1), 1).ravel()
+                needs.append(float(np.where(reached.any(axis=1), found, np.inf).max()))
+            yield pa.RecordBatch.from_arrays([batch.column("leaf"), pa.array(needs, pa.float64())], ["node", "among"])
+
     own = F.when(F.col("total") >= count, 2 * F.col("radius")).otherwise(F.lit(float("inf")))
     nodes = cover.nodes.withColumn("own", own)
-    done = nodes.where("parent is null").withColumn("need", F.col("own"))
-    every = done
-    for level in range(1, cover.depth + 1):
-        above = done.select(F.col("node").alias("parent"), F.col("need").alias("above"))
-        done = nodes.where(F.col("level") == level).join(above, "parent").withColumn("need", F.least("own", "above")).drop("above")
-        every = every.unionByName(done.select(every.columns))
+    local = _blocks(cover.points, "n", "x").mapInArrow(among, "node string, among double")
+    above, leaves = nodes.where("parent is null").withColumn("need", F.col("own")), None
+    for level in range(cover.depth + 1):
+        if level:
+            known = above.select(F.col("node").alias("parent"), F.col("need").alias("above"))
+            above = nodes.where(F.col("level") == level).join(known, "parent").withColumn("need", F.least("own", "above")).select(*nodes.columns, "need")
+        part = above.where("is_leaf")
+        leaves = part if leaves is None else leaves.unionByName(part)
+    every = leaves.join(local, "node").withColumn("need", F.least("need", "among")).select(*nodes.columns, "need")
+    every = stored(every)
+    for level in range(cover.depth - 1, -1, -1):
+        below = every.where(F.col("level") == level + 1).groupBy("parent").agg(F.max("need").alias("need"))
+        inner = nodes.where((F.col("level") == level) & ~F.col("is_leaf"))
+        every = every.unionByName(inner.join(below.withColumnRenamed("parent", "inner"), F.col("node") == F.col("inner")).select(every.columns))
     return stored(every.drop("own"))
 
 
@@ -439,6 +464,35 @@ def hierarchy_clusters(
     return points.select(key, *axes).join(labelled, axes, "left").select(key, F.coalesce("segment", F.lit(-1)).alias("segment"))
 
 
+def point_core_distances(
+    df: DataFrame, features: Sequence[str], min_samples: int = 10, key: str = "customer_id"
+) -> DataFrame:
+    """(key, core) of standardised features, for every row."""
+    axes = [f"x{i}" for i in range(len(features))]
+    points = scaled_axes(df, features, key)
+    placed = points.groupBy(*axes).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("id"))
+    cover = ball_cover.build(stored(placed.select("id", "n", F.array(*axes).alias("x"))))
+    core = placed.join(core_distances(cover, min_samples), "id").select(*axes, "core")
+    return points.join(core, axes).select(key, "core")
+
+
+def component_counts(
+    df: DataFrame, features: Sequence[str], limits: Sequence[float], min_samples: int = 10, key: str = "customer_id"
+) -> DataFrame:
+    """Per distance ``within``: how many positions are core at it, and how many components they
+    have, both read off the tree of mutual reachability."""
+    axes = [f"x{i}" for i in range(len(features))]
+    placed = scaled_axes(df, features, key).groupBy(*axes).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("id"))
+    cover = ball_cover.build(stored(placed.select("id", "n", F.array(*axes).alias("x"))))
+    core = stored(core_distances(cover, min_samples))
+    tree = reachability_tree(cover, core)
+    at = F.explode(F.array(*[F.lit(float(d)) for d in limits])).alias("within")
+    cores = core.select("core", at).groupBy("within").agg(F.count_if(F.col("core") <= F.col("within")).alias("core_positions"))
+    merges = tree.select("w", at).groupBy("within").agg(F.count_if(F.col("w") <= F.col("within")).alias("merges"))
+    joined = cores.join(merges, "within", "left")
+    return joined.select("within", "core_positions", (F.col("core_positions") - F.coalesce("merges", F.lit(0))).alias("components"))
+
+
 def hierarchy_segments(
     df: DataFrame,
     features: Sequence[str],

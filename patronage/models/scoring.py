@@ -21,7 +21,7 @@ from patronage.models.segmentation import (
     segment_stats,
 )
 from patronage.models.training import forecasting_inputs, journey_inputs
-from patronage.operators.features import cut_equal, expected_value, roi_estimate, with_purchases
+from patronage.operators.features import cut_equal, default_missing, expected_value, roi_estimate, with_purchases
 
 
 def binned(df: DataFrame, column: str, bins: tuple[list, list], name: str) -> DataFrame:
@@ -130,7 +130,7 @@ def score_conversion_class(forest: Forest, df: DataFrame, positive: str = "1") -
 
 def score_success(forest: Forest, df: DataFrame, success: str = "high") -> DataFrame:
     """Predicted class, probability of the class that means success, confidence, category."""
-    scored = apply_forest(forest, df).select(
+    scored = apply_forest(forest, default_missing(df, forest.features)).select(
         "customer_id",
         F.col("predicted").alias("predicted_campaign_success"),
         class_probability(forest, success).alias("success_probability"),
@@ -142,7 +142,7 @@ def score_success(forest: Forest, df: DataFrame, success: str = "high") -> DataF
 
 def score_success_class(forest: Forest, df: DataFrame, positive: str = "1") -> DataFrame:
     """Two-class variant: probability of the positive label and a decision at one half."""
-    scored = apply_forest(forest, df).select(
+    scored = apply_forest(forest, default_missing(df, forest.features)).select(
         "customer_id", class_probability(forest, positive).alias("success_probability")
     )
     decided = scored.withColumn("success_prediction", (F.col("success_probability") > 0.5).cast("int"))
@@ -150,7 +150,7 @@ def score_success_class(forest: Forest, df: DataFrame, positive: str = "1") -> D
 
 
 def score_budget(forest: Forest, df: DataFrame) -> DataFrame:
-    scored = apply_forest(forest, df).select(
+    scored = apply_forest(forest, default_missing(df, forest.features)).select(
         "customer_id",
         F.col("prediction").alias("predicted_optimal_budget"),
         F.lit(0.85).alias("budget_confidence"),

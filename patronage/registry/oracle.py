@@ -765,6 +765,42 @@ def _density(features: list[str], result: str = _LABELLED, eps: float = 0.1, siz
         {result}"""
 
 
+_HASH_42 = "(cast('0x' || substr(md5(customer_id || ':42'), 1, 8) as bigint) / 4294967296.0::double)"
+
+
+def _scaled(features: list[str]) -> str:
+    """Distinct standardised positions ``pos`` with their copies, and the distance of each point to
+    its tenth other one, ``core``."""
+    axes = ", ".join(
+        "coalesce(({0} - avg({0}) over ()) / nullif(stddev_samp({0}) over (), 0), 0) as x{1}".format(
+            f"coalesce(cast({f} as double), 0)", i
+        )
+        for i, f in enumerate(features)
+    )
+    names = ", ".join(f"x{i}" for i in range(len(features)))
+    away = " + ".join(f"(a.x{i} - b.x{i}) ** 2" for i in range(len(features)))
+    return f"""/*recursive*/,
+        pts as (select customer_id as id, {axes} from uni),
+        pos as (select min(id) as id, {names} from pts group by {names}),
+        near as (select a.id, sqrt({away}) as away, row_number() over (partition by a.id order by {away}) as place
+                 from pts a join pts b on true),
+        core as (select id, away as core from near where place = 11)"""
+
+
+def _tree_components(features: list[str], limits: str) -> str:
+    away = " + ".join(f"(a.x{i} - b.x{i}) ** 2" for i in range(len(features)))
+    return f"""{_scaled(features)},
+        limits as (select unnest([{limits}]::double[]) as within),
+        dense as materialized (select within, pos.*, core from pos join core using (id) join limits on core <= within),
+        link as materialized (select a.within, a.id as a, b.id as b from dense a join dense b
+                 on a.within = b.within and sqrt({away}) <= a.within),
+        reach(within, id, root) as (select within, id, id from dense
+            union select l.within, l.b, r.root from reach r join link l on l.a = r.id and l.within = r.within where l.b > r.root),
+        low as (select within, id, min(root) as root from reach group by all)
+        select within, count(distinct id) as core_positions, count(distinct root) as components from limits left join low using (within)
+        group by within"""
+
+
 _RECENT = f"uni where registration_date >= {AS_OF} - 90"
 _KMEANS = "silhouette_score calinski_harabasz_score training_cost n_clusters"
 _CLASSIFIER = "accuracy precision recall f1 n_estimators max_depth"
@@ -1240,6 +1276,13 @@ ORACLES: dict[str, str] = {
     "l2_density_segments": _density(SEGMENTATION_FEATURES),
     "l2_density_wide_radius": _density(SEGMENTATION_FEATURES, eps=2.5, size=10),
     "l2_density_recency_frequency": _density(["recency_days", "frequency"]),
+    "l2_core_distances": _scaled(["recency_days", "frequency"])
+    + " select id as customer_id, round(core, 6) as core from core",
+    "l2_tree_components": _tree_components(["recency_days", "frequency"], "0.05, 0.1, 0.2, 0.4, 0.8"),
+    "l14_stratified_folds": f"""
+        select customer_id, least(4, frequency // 2)::bigint as label_stage,
+               cast((row_number() over (partition by least(4, frequency // 2) order by {_HASH_42}, customer_id) - 1) % 5 as bigint)
+               as fold from uni""",
     "l15_score_density": _density(SEGMENTATION_FEATURES, _NAMED, eps=2.5, size=10),
     "l22_score_all": f"""
         with n as (select count(*) as n from uni where registration_date >= {AS_OF} - 90)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from patronage.functions import constants as k
 from patronage.functions import expr as e
-from patronage.models import density, forests, metrics, scoring, segmentation, store, training
+from patronage.models import density, forests, hierarchy, metrics, scoring, segmentation, store, training
 from patronage.operators import (
     abtest,
     campaign,
@@ -723,6 +723,17 @@ query("l2_density_wide_radius")(
 query("l2_density_recency_frequency")(
     lambda w: density.density_segments(w.stored, ["recency_days", "frequency"], eps=0.1, min_samples=10, min_cluster_size=50)
 )
+query("l2_core_distances")(
+    lambda w: hierarchy.point_core_distances(w.stored, ["recency_days", "frequency"]).withColumn("core", F.round("core", 6))
+)
+query("l2_tree_components")(
+    lambda w: hierarchy.component_counts(w.stored, ["recency_days", "frequency"], [0.05, 0.1, 0.2, 0.4, 0.8])
+)
+# selection by excess of mass is not SQL: tests/test_hierarchy.py has a plain version
+query("l2_hierarchy_segments")(lambda w: hierarchy.hierarchy_segments(w.stored, DENSITY_FEATURES, min_cluster_size=20))
+query("l2_hierarchy_recency_frequency")(
+    lambda w: hierarchy.hierarchy_segments(w.stored, ["recency_days", "frequency"], min_cluster_size=20)
+)
 query("l3_silhouette")(
     lambda w: w.spark.createDataFrame(
         [(metrics.silhouette(w.formula_clusters(), ["recency_days", "frequency"], "cluster"),)], "silhouette double"
@@ -760,6 +771,11 @@ def _(w):
     return metrics.classification_metrics(w.journey.withColumn("guess", guess), "journey_type", "guess")
 
 
+query("l14_stratified_folds")(
+    lambda w: splits.stratified_folds(features.label_history(w.stored).select("customer_id", "label_stage"), "label_stage")
+)
+
+
 def _cross_validated(w: Warehouse, target: str, kind: str) -> DataFrame:
     result = forests.cross_validate(w.history_train, k.ORDER_HISTORY_FEATURES, target, kind)
     return w.spark.createDataFrame([(name, float(v)) for name, v in result.items()], "metric string, value double")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from patronage.functions import constants as k
 from patronage.models import density, forests, metrics, scoring, segmentation, store, training
+from patronage.operators import splits
 from patronage.operators import features as ft
 
 from .conftest import AS_OF
@@ -169,3 +170,23 @@ def test_segment_names_count_noise(spark):
     df = spark.createDataFrame([("a", -1), ("b", 0), ("c", 3), ("d", 3)], "customer_id string, s int")
     got = {r["customer_id"]: r["segment_type"] for r in segmentation.segment_names(df, "s").collect()}
     assert got == {"a": "Noise", "b": "Segment_1", "c": "Segment_2", "d": "Segment_2"}
+
+
+def test_a_rare_class_is_in_every_fold(spark):
+    rows = [(f"c{i:03d}", "rare" if i % 29 == 0 else None if i % 31 == 0 else "often") for i in range(203)]
+    dealt = splits.stratified_folds(spark.createDataFrame(rows, "customer_id string, label string"), "label", 5)
+    counts = dealt.groupBy("label", "fold").count().collect()
+    for label in ("rare", "often", None):
+        sizes = [r["count"] for r in counts if r["label"] == label]
+        assert len(sizes) == 5 and max(sizes) - min(sizes) <= 1
+    assert dealt.count() == len(rows) and dealt.columns == ["customer_id", "label", "fold"]
+
+
+def test_absent_features_get_the_default_of_their_name(warehouse):
+    forest = warehouse.model("campaign_success")
+    known = warehouse.stored.limit(40)
+    absent = [c for c in ("avg_roas", "rfm_score") if c in forest.features]
+    assert absent
+    filled = known.withColumns({c: F.lit({"avg_roas": 1.0, "rfm_score": 50.0}[c]) for c in absent})
+    rows = lambda df: sorted(map(str, scoring.score_success(forest, df).collect()))
+    assert rows(known.drop(*absent)) == rows(filled)
