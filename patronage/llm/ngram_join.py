@@ -323,7 +323,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     first = keep(_first_pairs(met, percent), "ngram-first-pairs")
 
     # texts move once, for both rounds: those of all classes that share a token
-    asked = met.select("class").distinct().join(classes, "class")
+    # (a merge at every size: their share of all texts does not fall as the corpus grows)
+    asked = met.select("class").distinct().join(classes, "class").hint("merge")
     texts = rows.join(asked, ["doc_id", "text_key"]).select("class", "digest", "text")
     texts = keep(texts.dropDuplicates(["class", "digest"]), "ngram-texts")
 
