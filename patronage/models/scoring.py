@@ -162,11 +162,16 @@ def score_budget(forest: Forest, df: DataFrame) -> DataFrame:
 
 
 def score_all(
-    models: Mapping[str, object], df: DataFrame, as_of: date, density_features: Sequence[str]
+    models: Mapping[str, object],
+    df: DataFrame,
+    as_of: date,
+    density_features: Sequence[str],
+    lags: DataFrame | None = None,
 ) -> dict[tuple[str, str], DataFrame]:
     """Score tables by (family, model). ``df`` should be a stored or checkpointed feature
-    table: each score reads it once. A model that is not there is left out."""
-    forecasting, journey = forecasting_inputs(df), journey_inputs(df, as_of)
+    table: each score reads it once. A model that is not there is left out. ``lags`` are those of the
+    scored rows, if the forecasting models were trained with lags from the data."""
+    forecasting, journey = forecasting_inputs(df, lags), journey_inputs(df, as_of)
     scorers = {
         ("customer_segmentation", "kmeans"): ("kmeans", lambda m: score_segments(m, df)),
         ("forecasting", "revenue"): ("revenue", lambda m: score_revenue(m, forecasting, as_of)),

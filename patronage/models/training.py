@@ -6,15 +6,22 @@ from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from patronage.functions import constants as k
 from patronage.models import forests, segmentation
 from patronage.operators import features as ft
 
 
-def forecasting_inputs(df: DataFrame) -> DataFrame:
-    """Calendar parts of the registration date and the simulated lags."""
-    return ft.simulated_lags(ft.calendar_features(df, "registration_date"))
+def forecasting_inputs(df: DataFrame, lags: DataFrame | None = None) -> DataFrame:
+    """Calendar parts of the registration date, and lags from :func:`features.forecast_lags`;
+    without such a table the simulated ones."""
+    dated = ft.calendar_features(df, "registration_date")
+    if lags is None:
+        return ft.simulated_lags(dated)
+    found = lags.drop("label_day")
+    taken = [c for c in found.columns if c != "customer_id"]
+    return dated.drop(*taken).join(found, "customer_id", "left").withColumn("ctr", F.col("avg_ctr"))
 
 
 def journey_inputs(df: DataFrame, as_of: date) -> DataFrame:
@@ -32,16 +39,17 @@ def history_inputs(df: DataFrame) -> DataFrame:
     return ft.prepare_matrix(ft.label_history(df), [c for c in k.ORDER_HISTORY_FEATURES if c in df.columns])
 
 
+#: (rows, day, lags of the rows or None, options of the forest)
 Trainer = Callable[..., object]
 
 TRAINERS: dict[str, Trainer] = {
-    "kmeans": lambda df, as_of, **o: segmentation.train_kmeans(ft.with_purchases(df), k.SEGMENTATION_FEATURES),
-    "revenue": lambda df, as_of, **o: forests.train_revenue(forecasting_inputs(df), **o),
-    "ctr": lambda df, as_of, **o: forests.train_ctr(forecasting_inputs(df), **o),
-    "journey_stage": lambda df, as_of, **o: forests.train_stage(journey_inputs(df, as_of), **o),
-    "conversion": lambda df, as_of, **o: forests.train_conversion(journey_inputs(df, as_of), **o),
-    "campaign_success": lambda df, as_of, **o: forests.train_success(campaign_inputs(df, k.SUCCESS_FEATURES), **o),
-    "budget": lambda df, as_of, **o: forests.train_budget(campaign_inputs(df, k.BUDGET_FEATURES), **o),
+    "kmeans": lambda df, as_of, lags=None, **o: segmentation.train_kmeans(ft.with_purchases(df), k.SEGMENTATION_FEATURES),
+    "revenue": lambda df, as_of, lags=None, **o: forests.train_revenue(forecasting_inputs(df, lags), **o),
+    "ctr": lambda df, as_of, lags=None, **o: forests.train_ctr(forecasting_inputs(df, lags), **o),
+    "journey_stage": lambda df, as_of, lags=None, **o: forests.train_stage(journey_inputs(df, as_of), **o),
+    "conversion": lambda df, as_of, lags=None, **o: forests.train_conversion(journey_inputs(df, as_of), **o),
+    "campaign_success": lambda df, as_of, lags=None, **o: forests.train_success(campaign_inputs(df, k.SUCCESS_FEATURES), **o),
+    "budget": lambda df, as_of, lags=None, **o: forests.train_budget(campaign_inputs(df, k.BUDGET_FEATURES), **o),
 }
 
 _HISTORY_TARGETS = {
@@ -54,10 +62,10 @@ _HISTORY_TARGETS = {
 }
 
 
-def train_all(df: DataFrame, as_of: date, **options) -> dict[str, object]:
+def train_all(df: DataFrame, as_of: date, lags: DataFrame | None = None, **options) -> dict[str, object]:
     """The seven fitted models (density segments are not a model: they are found when
     scoring). A forest without enough rows is left out."""
-    fitted = {name: train(df, as_of, **options) for name, train in TRAINERS.items()}
+    fitted = {name: train(df, as_of, lags, **options) for name, train in TRAINERS.items()}
     return {name: model for name, model in fitted.items() if model is not None}
 
 

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patronage.functions import constants as k
-from patronage.functions.expr import days_between, ladder, ratio, zero_to_one
+from patronage.functions.expr import days_between, ladder, ratio, ratio0, zero_to_one
+from patronage.operators.asof import as_of_features
 from patronage.operators.profiling import label_mode
 from patronage.operators.quantiles import exact_quantiles
 
@@ -170,7 +171,7 @@ SIMULATED = [
 
 def simulated_lags(df: DataFrame) -> DataFrame:
     """Lags and averages as constant multiples of the target. They leak it; kept because
-    the published model uses them. See :func:`revenue_lags` for lags from the data."""
+    the published model uses them. See :func:`forecast_lags` for lags from the data."""
     out = {name: F.col(source).cast("double") * factor for name, source, factor in SIMULATED}
     return df.withColumns({**out, "ctr": F.col("avg_ctr")})
 
@@ -211,6 +212,62 @@ def latest_lags(lags: DataFrame) -> DataFrame:
     return last.select("customer_id", *[f"l.{c}" for c in rest])
 
 
+def daily_clicks(performance: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """Clicks and impressions per target audience and day. Rows of a campaign are summed per day
+    before they meet the campaign, so a large campaign is one row per day in the join."""
+    per_campaign = performance.groupBy("campaign_id", F.to_date("date").alias("click_day")).agg(
+        F.sum("clicks").alias("clicks"), F.sum("impressions").alias("impressions")
+    )
+    audiences = campaigns.select("campaign_id", "target_audience")
+    return per_campaign.join(audiences, "campaign_id").groupBy("target_audience", "click_day").agg(
+        F.sum("clicks").alias("clicks"), F.sum("impressions").alias("impressions")
+    )
+
+
+def label_days(df: DataFrame, as_of: date, at_last_order: bool) -> DataFrame:
+    """customer_id, target_audience and ``label_day``, before which lags are taken: the day of the
+    last order for training, ``as_of`` for scoring."""
+    day = F.date_sub(F.lit(as_of), F.col("recency_days").cast("int")) if at_last_order else F.lit(as_of)
+    return df.select("customer_id", "target_audience", day.alias("label_day"))
+
+
+def forecast_lags(labels: DataFrame, orders: DataFrame, performance: DataFrame, campaigns: DataFrame) -> DataFrame:
+    """Lags and averages of :data:`SIMULATED` from the data, for each row of :func:`label_days`.
+
+    ``revenue_lag_n`` is the revenue of the customer's latest order day at least n days before the
+    label, ``revenue_ma_n`` the mean per day over the n days before it; the click rates are those of
+    the customer's audience. Nothing of the label day or later is seen. A lag without an earlier
+    day is NULL.
+    """
+    spent = as_of_features(
+        daily_revenue(orders), labels, "customer_id", "order_day", "label_day", ["revenue"], [1, 7, 30], [7, 30]
+    )
+    named = labels.filter(F.col("target_audience").isin(*sorted(set(k.SEGMENT_AUDIENCE.values()))))
+    clicked = as_of_features(
+        daily_clicks(performance, campaigns), named, "target_audience", "click_day", "label_day",
+        ["clicks", "impressions"], [1], [7],
+    )
+    rates = clicked.select(
+        "target_audience",
+        "label_day",
+        F.when(F.col("clicks_lag_1").isNotNull(), ratio0("clicks_lag_1", "impressions_lag_1")).alias("ctr_lag_1"),
+        ratio0("clicks_sum_7", "impressions_sum_7").alias("ctr_ma_7"),
+    )
+    # at most one row per day for each audience that the fixed mapping names
+    return (
+        labels.join(spent, ["customer_id", "label_day"], "left")
+        .join(F.broadcast(rates), ["target_audience", "label_day"], "left")
+        .select(
+            "customer_id",
+            "label_day",
+            *[F.col(f"revenue_lag_{n}").cast("double").alias(f"revenue_lag_{n}") for n in (1, 7, 30)],
+            *[(F.col(f"revenue_sum_{n}").cast("double") / n).alias(f"revenue_ma_{n}") for n in (7, 30)],
+            "ctr_lag_1",
+            "ctr_ma_7",
+        )
+    )
+
+
 def order_gaps(orders: DataFrame) -> DataFrame:
     """Days between consecutive order days of a customer; NULL for the first."""
     previous = F.lag("order_day").over(Window.partitionBy("customer_id").orderBy("order_day"))

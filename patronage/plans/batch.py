@@ -43,11 +43,20 @@ def _stored_report(report: DataFrame, folder: str, run_ts: datetime) -> DataFram
     return report.sparkSession.read.schema(report.schema).json(path)
 
 
-def run_training(spark: SparkSession, train: DataFrame, as_of: date, base: str, run_ts: datetime, **options) -> DataFrame:
+def run_training(
+    spark: SparkSession,
+    train: DataFrame,
+    as_of: date,
+    base: str,
+    run_ts: datetime,
+    lags: DataFrame | None = None,
+    **options,
+) -> DataFrame:
     """Fit and store every model with its feature list; returns the training report, stored
-    under the run label. Checkpoints of the run are deleted."""
+    under the run label. ``lags`` is the table ``training_forecast_lags``; a scoring run needs
+    ``recent_forecast_lags`` then. Checkpoints of the run are deleted."""
     with released(spark):
-        fitted = training.train_all(train, as_of, **options)
+        fitted = training.train_all(train, as_of, lags, **options)
         for name, model in fitted.items():
             family, label = FAMILIES[name]
             store.save_model(spark, model, base, family, label, run_ts)
@@ -74,12 +83,13 @@ def run_scoring(
     base: str,
     run_ts: datetime,
     density_features: Sequence[str] = tuple(SEGMENTATION_FEATURES),
+    lags: DataFrame | None = None,
 ) -> DataFrame:
     """Score with the newest stored models, keep score tables and reports under the run
     label, and return the master report. Checkpoints of the run are deleted."""
     with released(spark):
         loaded = {name: store.load_latest_model(spark, models, *label) for name, label in FAMILIES.items()}
-        score_tables = scoring.score_all(loaded, recent, as_of, density_features)
+        score_tables = scoring.score_all(loaded, recent, as_of, density_features, lags)
         kept = {}
         for (family, model), scores in score_tables.items():
             folder = f"{base}/{family}/{model}"

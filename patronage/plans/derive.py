@@ -100,6 +100,9 @@ def derive_tables(sources: Mapping[str, DataFrame], as_of: date, months: int = 3
         ),
     )
     train, recent = splits.timeline_split(unified, as_of, months)
-    add("training_customer_dataset", train)
-    add("recent_customer_dataset", recent)
+    for part, rows, at_last_order in (("training", train, True), ("recent", recent, False)):
+        kept = add(f"{part}_customer_dataset", rows)
+        labels = features.label_days(kept, as_of, at_last_order)
+        lags = features.forecast_lags(labels, cleanup.successful_orders(orders), performance, campaigns)
+        add(f"{part}_forecast_lags", lags)
     return out

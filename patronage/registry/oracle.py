@@ -609,6 +609,31 @@ _MASTER = """
     group by rollup (family, model)"""
 
 
+def _known_lags(label_day: str) -> str:
+    """What orders and clicks before the label day say; ties cannot occur, as days are summed."""
+    lag = """(select cast(arg_max(r, d) as double) from spent x
+              where x.customer_id = lab.customer_id and x.d <= lab.label_day - {n}) as revenue_lag_{n}"""
+    mean = """coalesce((select cast(sum(r) as double) from spent x where x.customer_id = lab.customer_id
+              and x.d < lab.label_day and x.d >= lab.label_day - {n}), 0) / {n} as revenue_ma_{n}"""
+    rate = "case when sum(i) = 0 then 0 else sum(c) / sum(i) end"
+    return f"""
+        with spent as (select customer_id, cast(order_date as date) as d, sum(total_amount) as r from sold group by 1, 2),
+        clicked as (select target_audience as a, cast(date as date) as d, sum(clicks) as c, sum(impressions) as i
+                    from perf_ok join camp_ok using (campaign_id) group by 1, 2),
+        lab as (select customer_id, target_audience, cast({label_day} as date) as label_day from uni),
+        known as (select customer_id, label_day, {", ".join(lag.format(n=n) for n in (1, 7, 30))},
+                         {", ".join(mean.format(n=n) for n in (7, 30))},
+                         (select {rate} from clicked where a = target_audience and d = (select max(d) from clicked z
+                           where z.a = lab.target_audience and z.d < lab.label_day) having count(*) > 0) as ctr_lag_1,
+                         (select {rate} from clicked where a = target_audience and d < label_day and d >= label_day - 7) as ctr_now,
+                         target_audience is not null as has_audience
+                  from lab)
+        select customer_id, cast(label_day as varchar) as label_day,
+               {", ".join(f"round({c}, 6) + 0.0 as {c}" for c in ("revenue_lag_1", "revenue_lag_7", "revenue_lag_30", "revenue_ma_7", "revenue_ma_30", "ctr_lag_1"))},
+               case when has_audience then round(coalesce(ctr_now, 0), 6) + 0.0 end as ctr_ma_7
+        from known"""
+
+
 def _hash(seed: int = 42) -> str:
     return f"(cast('0x' || substr(md5(customer_id || ':{seed}'), 1, 8) as bigint) / 4294967296.0::double)"
 
@@ -1249,6 +1274,8 @@ ORACLES: dict[str, str] = {
                round(m * 0.85, 6) as revenue_lag_30, round(m * 0.98, 6) as revenue_ma_7, round(m * 0.95, 6) as revenue_ma_30,
                round(avg_ctr, 6) as ctr, round(avg_ctr * 0.95, 6) as ctr_lag_1, round(avg_ctr * 0.98, 6) as ctr_ma_7
         from (select customer_id, cast(monetary_value as double) as m, avg_ctr from uni)""",
+    "f27_point_in_time_lags": _known_lags(f"{AS_OF} - cast(recency_days as int)"),
+    "f27_scoring_lags": _known_lags(AS_OF),
     "f28_revenue_lags": pick("lags", s="customer_id order_day", f=_LAGS["f"]),
     "f28_latest_lags": pick(
         "(select * from lags qualify row_number() over (partition by customer_id order by order_day desc) = 1)", **_LAGS

@@ -219,7 +219,7 @@ def _(w):
 
 
 def training_inputs(w: Warehouse) -> DataFrame:
-    return training.forecasting_inputs(w.infer_part)
+    return training.forecasting_inputs(w.infer_part, w.infer_lags)
 
 
 # ---- projections, filters, predicates ------------------------------------------------
@@ -657,6 +657,8 @@ query("f27_simulated_lags")(
         "ctr", "ctr_lag_1", "ctr_ma_7",
     )
 )
+query("f27_point_in_time_lags")(lambda w: w.forecast_lags(w.stored, True))
+query("f27_scoring_lags")(lambda w: w.forecast_lags(w.stored, False))
 query("f28_revenue_lags")(lambda w: features.revenue_lags(w.sold, AS_OF))
 query("f28_latest_lags")(lambda w: features.latest_lags(features.revenue_lags(w.sold, AS_OF)))
 query("f29_roi_and_value")(
@@ -899,7 +901,7 @@ scored(
 def _(w):
     """Every value of every score table: family, model, customer_id, measure, value as text."""
     parts = []
-    for (family, model), scores in scoring.score_all(w.models, w.infer_part, AS_OF, DENSITY_FEATURES).items():
+    for (family, model), scores in scoring.score_all(w.models, w.infer_part, AS_OF, DENSITY_FEATURES, w.infer_lags).items():
         values = publish(scores)
         measures = [c for c in values.columns if c != "customer_id"]
         pairs = F.array(*(F.struct(F.lit(c).alias("measure"), F.col(c).cast("string").alias("value")) for c in measures))
@@ -911,7 +913,7 @@ def _(w):
 
 @query("l22_score_all")
 def _(w):
-    return reports.master_report(scoring.score_all(w.models, w.infer_part, AS_OF, DENSITY_FEATURES))
+    return reports.master_report(scoring.score_all(w.models, w.infer_part, AS_OF, DENSITY_FEATURES, w.infer_lags))
 
 
 def _segment_requests(w: Warehouse) -> DataFrame:

@@ -190,8 +190,22 @@ class Warehouse:
         """Scoring rows of the order-history variant, imputed and clipped among themselves."""
         return features.prepare_matrix(self.infer_part, k.ORDER_HISTORY_FEATURES)
 
+    def forecast_lags(self, part: DataFrame, at_last_order: bool) -> DataFrame:
+        orders = cleanup.successful_orders(self.valid_transactions)
+        labels = features.label_days(part, AS_OF, at_last_order)
+        return features.forecast_lags(labels, orders, self.valid_performance, self.campaigns)
+
+    @property
+    def train_lags(self) -> DataFrame:
+        return self.once("train lags", lambda: cut_lineage(self.forecast_lags(self.train_part, True)))
+
+    @property
+    def infer_lags(self) -> DataFrame:
+        return self.once("infer lags", lambda: cut_lineage(self.forecast_lags(self.infer_part, False)))
+
     def model(self, name: str) -> object:
-        return self.once(f"model {name}", lambda: training.TRAINERS[name](self.train_part, AS_OF))
+        lags = self.train_lags if name in ("revenue", "ctr") else None
+        return self.once(f"model {name}", lambda: training.TRAINERS[name](self.train_part, AS_OF, lags))
 
     @property
     def history_train(self) -> DataFrame:
