@@ -16,7 +16,8 @@ from pyspark.storagelevel import StorageLevel
 
 from patronage.functions import constants as k
 from patronage.functions.expr import ladder, map_values, mean
-from patronage.models.metrics import calinski_harabasz
+from patronage.models.density import density_segments, scaled_axes
+from patronage.models.metrics import calinski_harabasz, silhouette
 from patronage.operators.ranking import global_row_number
 
 
@@ -72,6 +73,21 @@ def train_kmeans(
     return Segmentation(PipelineModel(stages=[assemble, scaler, best]), metrics, {"n_train": rows, "baseline_cost": cost})
 
 
+def density_metrics(df: DataFrame, features: Sequence[str], **options) -> dict[str, float]:
+    """Segments found, rows in none, and, with two segments or more, their mean silhouette on the
+    standardised features; noise is no segment."""
+    used = list(dict.fromkeys(features))
+    placed = density_segments(df, used, **options)
+    inside, outside = F.when(F.col("segment") >= 0, F.col("segment")), F.count_if(F.col("segment") < 0)
+    found, noise = placed.agg(F.count_distinct(inside), outside).first()
+    metrics: dict[str, float] = {"n_clusters": found, "n_noise": noise}
+    if found >= 2:
+        axes = scaled_axes(df, used, "customer_id")
+        inside = axes.join(placed.filter(F.col("segment") >= 0), "customer_id")
+        metrics["silhouette_score"] = silhouette(inside, [c for c in axes.columns if c != "customer_id"], "segment")
+    return metrics
+
+
 def assign_segments(segmentation: Segmentation, df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Kept columns plus ``segment``."""
     data = _filled(df, segmentation.features, [F.col(c).alias(f"keep_{c}") for c in keep])

@@ -69,6 +69,27 @@ def train_all(df: DataFrame, as_of: date, lags: DataFrame | None = None, **optio
     return {name: model for name, model in fitted.items() if model is not None}
 
 
+def further_metrics(
+    df: DataFrame, folds: int = 5, eps: float = 0.1, min_samples: int = 10, min_cluster_size: int = 50, **options
+) -> dict[str, dict[str, float]]:
+    """What training reports beside its models: cross-validation of the campaign models (none for
+    fewer than ``min_rows`` rows), and the density segments of the training rows."""
+    least = options.pop("min_rows", 100)
+    out: dict[str, dict[str, float]] = {}
+    for name, features, target, kind in (
+        ("campaign_success", k.SUCCESS_FEATURES, "campaign_success", forests.CLASSIFICATION),
+        ("budget", k.BUDGET_FEATURES, "optimal_budget", forests.REGRESSION),
+    ):
+        rows = campaign_inputs(df, features)
+        known = rows.filter(F.col(target).isNotNull()).count()
+        if known >= least:
+            out[name] = {**forests.cross_validate(rows, features, target, kind, folds, **options), "n_rows": known}
+    out["density"] = segmentation.density_metrics(
+        ft.with_purchases(df), k.SEGMENTATION_FEATURES, eps=eps, min_samples=min_samples, min_cluster_size=min_cluster_size
+    )
+    return out
+
+
 def train_history(name: str, prepared: DataFrame, **options) -> object:
     """One model of the order-history variant, from :func:`history_inputs`."""
     if name == "kmeans":

@@ -25,13 +25,13 @@ FAMILIES = {
 }
 
 
-def metrics_table(spark: SparkSession, fitted: Mapping[str, object]) -> DataFrame:
-    """model, metric, value."""
+def metrics_table(
+    spark: SparkSession, fitted: Mapping[str, object], further: Mapping[str, Mapping[str, float]] | None = None
+) -> DataFrame:
+    """model, metric, value; ``further`` metrics by model come after those of the models."""
+    tables = [(name, model.metrics) for name, model in fitted.items()] + list((further or {}).items())
     rows = [
-        (name, metric, float(value))
-        for name, model in fitted.items()
-        for metric, value in model.metrics.items()
-        if value is not None
+        (name, metric, float(value)) for name, values in tables for metric, value in values.items() if value is not None
     ]
     return spark.createDataFrame(rows, "model string, metric string, value double")
 
@@ -61,7 +61,8 @@ def run_training(
             family, label = FAMILIES[name]
             store.save_model(spark, model, base, family, label, run_ts)
             write_csv(store.feature_list(spark, model), f"{base}/{family}/{label}/features")
-        report = reports.training_report(metrics_table(spark, fitted))
+        further = training.further_metrics(train, **options)
+        report = reports.training_report(metrics_table(spark, fitted, further))
         return _stored_report(report, f"{base}/training_report", run_ts)
 
 

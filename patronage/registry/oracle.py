@@ -832,8 +832,96 @@ _CLASSIFIER = "accuracy precision recall f1 n_estimators max_depth"
 _REGRESSOR = "mae mse rmse r2 n_estimators max_depth"
 
 
-def _sound(model: str, names: str) -> str:
-    return " union all ".join(f"select '{model}' as model, '{n}' as metric, true as sound" for n in names.split())
+_SETTINGS = {"n_estimators": "100", "max_depth": "10", "n_clusters": "5"}
+_OLD_ROWS = f"tr as (select * from uni where registration_date < {AS_OF} - 90)"
+_AS_DOUBLE = "cast(monetary_value as double)"
+# the labels of the models, from the training rows
+_TARGETS = {
+    "l6_success_classifier": """case when avg_roas > 3 and avg_ctr > 0.05 then 'high'
+                                     when avg_roas > 2 and avg_ctr > 0.03 then 'medium' else 'low' end""",
+    "l7_budget_regressor": "least(1000, greatest(100, cast(total_campaign_revenue as double) * avg_roas / 2))::double",
+    "l8_revenue_regressor": _AS_DOUBLE,
+    "l9_ctr_regressor": "avg_ctr::double",
+    "l10_stage_classifier": """case when frequency >= 5 then 'loyal_customer' when frequency >= 2 then 'repeat_customer'
+        when frequency = 1 then 'first_time_buyer' when cart_adds > 0 then 'cart_abandoner'
+        when product_views > 0 then 'product_browser' else 'visitor' end""",
+    "l11_conversion_regressor": """least(0.95, 0.1
+        + case when rfm_score > 80 then 0.3 when rfm_score > 60 then 0.2 when rfm_score > 40 then 0.1 else 0 end
+        + 0.1 * ((total_page_views > 10)::int + (total_events > 5)::int + (total_interactions > 3)::int
+                 + (product_views > 5)::int) + 0.2 * (cart_adds > 0)::int)::double""",
+    "l6_success_classifier_history": """(avg_roas > (select median(avg_roas) from tr)
+        and avg_ctr > (select median(avg_ctr) from tr))::int::varchar""",
+    "l7_budget_regressor_history": "(customer_lifetime_value * 0.1)::double",
+    "l8_revenue_regressor_history": f"{_AS_DOUBLE} * (1 + frequency / 10)",
+    "l9_ctr_regressor_history": "least(0.15, greatest(0.01, 0.05 * (1 + frequency / 10)))::double",
+    "l10_stage_classifier_history": "least(4, frequency // 2)::int::varchar",
+    "l11_conversion_classifier_history": f"({_AS_DOUBLE} > (select median({_AS_DOUBLE}) from tr))::int::varchar",
+}
+
+
+def _sound(model: str, names: str, more: str = "") -> str:
+    lines = [
+        f"select '{model}' as model, '{n}' as metric, true as sound, cast({_SETTINGS.get(n, 'null')} as double) as value"
+        for n in names.split()
+    ]
+    return " union all ".join(lines) + more
+
+
+def _guessed(name: str, model: str, names: str, stratify: bool = False) -> str:
+    """Soundness of the metrics, and of the same split: rows, labels, and the best constant guess."""
+    test = (
+        f"row_number() over (partition by y order by {_HASH_42}, customer_id) > round(0.8 * count(*) over (partition by y))"
+        if stratify
+        else f"{_HASH_42} < 0.2::double"
+    )
+    values = {"n_train": "count(*) filter (not test)", "n_test": "count(*) filter (test)"}
+    if "accuracy" in names:
+        guess = "(select y from dealt where not test group by y order by count(*) desc, y limit 1)"
+        values["baseline_accuracy"] = f"avg((y = {guess})::int) filter (test)"
+    else:
+        mean = "(select avg(y) from dealt where not test)"
+        values["label_min"], values["label_max"] = "min(y) filter (not test)", "max(y) filter (not test)"
+        values["baseline_rmse"] = f"sqrt(avg((y - {mean}) ** 2) filter (test))"
+    more = "".join(
+        f" union all select '{model}', '{n}', true, round(cast({v} as double), 6) + 0.0 from dealt" for n, v in values.items()
+    )
+    return f"""with {_OLD_ROWS}, labelled as (select customer_id, {_TARGETS[name]} as y from tr),
+        dealt as (select y, {test} as test from labelled where y is not null)
+        {_sound(model, names, more)}"""
+
+
+def _one_cluster(names: str, features: list[str], where: str) -> str:
+    """A standardised axis that varies adds n - 1 to the cost of a single cluster."""
+    moving = " + ".join(f"(stddev_samp(coalesce(cast({f} as double), 0)) > 0)::int" for f in features) or "0"
+    more = f" union all select 'kmeans', 'n_train', true, cast(count(*) as double) from tr where {where}"
+    if features:
+        more += f""" union all select 'kmeans', 'baseline_cost', true, round(cast((count(*) - 1) * ({moving}) as double), 6)
+                     from tr where {where}"""
+    return f"with {_OLD_ROWS} {_sound('kmeans', names, more)}"
+
+
+def _folded(name: str, values: dict[str, str], target: str) -> str:
+    more = "".join(
+        f" union all select '{n}', true, round(cast({v} as double), 6) + 0.0 from dealt" for n, v in values.items()
+    )
+    return f"""with {_OLD_ROWS}, dealt as (select {_TARGETS[target]} as y from tr)
+        select unnest(['{name}_mean', '{name}_std']) as metric, true as sound, cast(null as double) as value{more}"""
+
+
+def _report_rows() -> str:
+    """All rows of the models and of the cross-validation, with what does not depend on a fit."""
+    regressor = _REGRESSOR.replace("r2 ", "")
+    models = {
+        "kmeans": _KMEANS, "revenue": regressor, "ctr": regressor, "journey_stage": _CLASSIFIER, "conversion": regressor,
+        "campaign_success": f"{_CLASSIFIER} cv_accuracy_mean cv_accuracy_std n_rows",
+        "budget": f"{regressor} cv_r2_mean cv_r2_std n_rows",
+    }
+    known = {"n_estimators": "100", "max_depth": "10", "n_rows": "(select count(*) from tr)"}
+    lines = [
+        f"select '{m}' as section, '{n}' as key, cast({known.get(n, 'null')} as double) as value"
+        for m, names in models.items() for n in names.split()
+    ]
+    return f"with {_OLD_ROWS} {' union all '.join(lines)}"
 
 
 def _consistent(constants: str = "", source: str = _RECENT) -> str:
@@ -1320,22 +1408,27 @@ ORACLES: dict[str, str] = {
                         ('campaign_optimization', 'budget_optimization')) as m(family, model)
         group by rollup (family, model)""",
     "s16_model_store": f"select count(*) as customers, cast(0 as bigint) as different from {_RECENT}",
-    "l1_kmeans": _sound("kmeans", _KMEANS),
-    "l1_kmeans_history": _sound("kmeans", _KMEANS),
-    "l6_success_classifier": _sound("campaign_success", _CLASSIFIER),
-    "l6_success_classifier_history": _sound("campaign_success", _CLASSIFIER),
-    "l7_budget_regressor": _sound("budget", _REGRESSOR.replace("r2 ", "")),
-    "l7_budget_regressor_history": _sound("budget", _REGRESSOR),
-    "l8_revenue_regressor": _sound("revenue", _REGRESSOR),
-    "l8_revenue_regressor_history": _sound("revenue", _REGRESSOR),
-    "l9_ctr_regressor": _sound("ctr", _REGRESSOR),
-    "l9_ctr_regressor_history": _sound("ctr", _REGRESSOR),
-    "l10_stage_classifier": _sound("journey_stage", _CLASSIFIER),
-    "l10_stage_classifier_history": _sound("journey_stage", _CLASSIFIER),
-    "l11_conversion_regressor": _sound("conversion", _REGRESSOR),
-    "l11_conversion_classifier_history": _sound("conversion", _CLASSIFIER),
-    "l14_cross_validation": "select unnest(['cv_r2_mean', 'cv_r2_std']) as metric, true as sound",
-    "l14_cross_validation_accuracy": "select unnest(['cv_accuracy_mean', 'cv_accuracy_std']) as metric, true as sound",
+    "l1_kmeans": _one_cluster(_KMEANS, SEGMENTATION_FEATURES, "monetary_value > 0"),
+    "l1_kmeans_history": _one_cluster(_KMEANS, [], "true"),
+    "l6_success_classifier": _guessed("l6_success_classifier", "campaign_success", _CLASSIFIER),
+    "l6_success_classifier_history": _guessed("l6_success_classifier_history", "campaign_success", _CLASSIFIER),
+    "l7_budget_regressor": _guessed("l7_budget_regressor", "budget", _REGRESSOR.replace("r2 ", "")),
+    "l7_budget_regressor_history": _guessed("l7_budget_regressor_history", "budget", _REGRESSOR),
+    "l8_revenue_regressor": _guessed("l8_revenue_regressor", "revenue", _REGRESSOR),
+    "l8_revenue_regressor_history": _guessed("l8_revenue_regressor_history", "revenue", _REGRESSOR),
+    "l9_ctr_regressor": _guessed("l9_ctr_regressor", "ctr", _REGRESSOR),
+    "l9_ctr_regressor_history": _guessed("l9_ctr_regressor_history", "ctr", _REGRESSOR),
+    "l10_stage_classifier": _guessed("l10_stage_classifier", "journey_stage", _CLASSIFIER, stratify=True),
+    "l10_stage_classifier_history": _guessed("l10_stage_classifier_history", "journey_stage", _CLASSIFIER),
+    "l11_conversion_regressor": _guessed("l11_conversion_regressor", "conversion", _REGRESSOR),
+    "l11_conversion_classifier_history": _guessed("l11_conversion_classifier_history", "conversion", _CLASSIFIER),
+    "l14_cross_validation": _folded("cv_r2", {"n_rows": "count(y)"}, "l7_budget_regressor_history"),
+    "l14_cross_validation_accuracy": _folded(
+        "cv_accuracy",
+        {"n_rows": "count(y)", "baseline_cv_accuracy":
+         "avg((y = (select y from dealt group by y order by count(*) desc, y limit 1))::int)"},
+        "l11_conversion_classifier_history",
+    ),
     "l15_score_segments": _consistent("cast(1 as double) as kmeans_confidence"),
     "l15_score_segments_named": _consistent(),
     "l16_score_revenue": _consistent(_forecast_constants(0.85, "next_month")),
@@ -1454,6 +1547,7 @@ ORACLES: dict[str, str] = {
     "d13_chart_scatter": f"""
         select customer_id, cast(recency_days as bigint) as recency_days, cast(monetary_value as double) as monetary_value
         from uni where {_hash()} < 0.5::double""",
+    "d12_training_report_rows": _report_rows(),
     "d13_chart_histogram": _histogram("predicted_revenue", 50, "sc_rev"),
     "d13_chart_radar": """
         with m as (select rfm_segment, avg(cast(monetary_value as double)) as monetary_value, avg(frequency) as frequency,

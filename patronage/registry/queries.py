@@ -43,13 +43,22 @@ DENSITY_FEATURES = k.SEGMENTATION_FEATURES
 RATES = ("accuracy", "precision", "recall", "f1")
 
 
+# what SQL can compute without the model: the split, its labels, a constant guess, the settings
+REPEATABLE = (
+    "n_train", "n_test", "n_rows", "label_min", "label_max", "baseline_rmse", "baseline_accuracy", "baseline_cv_accuracy",
+    "baseline_cost", "n_estimators", "max_depth", "n_clusters",
+)
+
+
 def sound(values: DataFrame) -> DataFrame:
-    """Metric names, and whether each value is one that its metric can have."""
+    """Metric names, whether each value is one that its metric can have, and the value itself where
+    it does not depend on the fitted model."""
     v, metric = F.col("value"), F.col("metric")
     capped = metric.isin(*RATES) | metric.contains("r2") | metric.contains("silhouette") | metric.startswith("cv_")
     signed = metric.contains("r2") | metric.contains("silhouette")
     ok = ~F.isnan(v) & (v < float("inf")) & (~capped | (v <= 1)) & (signed | (v >= 0))
-    return values.select(*[c for c in values.columns if c != "value"], F.coalesce(ok, F.lit(False)).alias("sound"))
+    return values.select(*[c for c in values.columns if c != "value"], F.coalesce(ok, F.lit(False)).alias("sound"),
+                         F.when(metric.isin(*REPEATABLE), v).alias("value"))
 
 
 def consistent(scores: DataFrame, keep: str, *conditions: str) -> DataFrame:
@@ -697,7 +706,11 @@ def _fitted(w: Warehouse, name: str, history: bool) -> dict[str, object]:
 
 
 def _metrics_of(name: str, history: bool = False):
-    return lambda w: sound(metrics_table(w.spark, _fitted(w, name, history)))
+    """Everything but the flag; of the clipped history matrix also without the cost of one cluster."""
+    left_out = ["beats_baseline"] + ["baseline_cost"] * history
+    return lambda w: sound(
+        model_values(w.spark, _fitted(w, name, history)).filter(F.col("value").isNotNull() & ~F.col("metric").isin(left_out))
+    )
 
 
 def _values_of(name: str, history: bool = False):
@@ -779,12 +792,15 @@ query("l14_stratified_folds")(
 
 
 def _cross_validated(w: Warehouse, target: str, kind: str) -> DataFrame:
-    result = forests.cross_validate(w.history_train, k.ORDER_HISTORY_FEATURES, target, kind)
+    result = w.once(
+        f"folds of {target}", lambda: forests.cross_validate(w.history_train, k.ORDER_HISTORY_FEATURES, target, kind)
+    )
     return w.spark.createDataFrame([(name, float(v)) for name, v in result.items()], "metric string, value double")
 
 
 def _cross_validation(target: str, kind: str):
-    return lambda w: sound(_cross_validated(w, target, kind))
+    values = _cross_validation_values(target, kind)
+    return lambda w: sound(values(w).filter(~F.col("metric").isin("beats_baseline", "baseline_cv_r2")))
 
 
 def _cross_validation_values(target: str, kind: str):
@@ -983,7 +999,20 @@ def _(w):
 
 
 query("d11_master_report")(lambda w: reports.master_report(_formula_tables(w)))
-query("d12_training_report")(lambda w: reports.training_report(metrics_table(w.spark, w.models)))
+
+
+def _training_report(w: Warehouse) -> DataFrame:
+    more = w.once("folds and density", lambda: training.further_metrics(w.train_part, eps=2.5, min_cluster_size=10))
+    return reports.training_report(metrics_table(w.spark, w.models, more))
+
+
+query("d12_training_report")(_training_report)
+# names of all rows, and the values that do not depend on a fitted model
+query("d12_training_report_rows")(
+    lambda w: _training_report(w).select(
+        "section", "key", F.when(F.col("key").isin("n_estimators", "max_depth", "n_rows"), F.col("value")).alias("value")
+    ).filter("section not in ('density', 'best_model') and key <> 'r2'")
+)
 query("d13_chart_histogram")(lambda w: reports.chart_histogram(w.formula_scores("revenue"), "predicted_revenue", 50))
 query("d13_chart_scatter")(lambda w: reports.chart_scatter(w.stored, "recency_days", "monetary_value", 0.5))
 query("d13_chart_radar")(lambda w: reports.chart_radar(w.stored, "rfm_segment"))

@@ -44,9 +44,20 @@ def test_existing_tables_can_be_kept(spark, derived):
 def test_train_then_score(spark, derived, tmp_path):
     made, _, _ = derived
     run = datetime(2001, 8, 2, 9, 30)
-    report = batch.run_training(spark, made["training_customer_dataset"], AS_OF, f"{tmp_path}/models", run, made["training_forecast_lags"], trees=5, depth=4)
+    report = batch.run_training(
+        spark, made["training_customer_dataset"], AS_OF, f"{tmp_path}/models", run, made["training_forecast_lags"],
+        trees=5, depth=4,
+    )
+    rows = {(r["section"], r["key"]): r["value"] for r in report.collect()}
+    known = made["training_customer_dataset"].count()
+    assert rows["campaign_success", "n_rows"] == rows["budget", "n_rows"] == known
+    assert 0 <= rows["campaign_success", "cv_accuracy_mean"] <= 1 and ("budget", "cv_r2_std") in rows
+    assert rows["density", "n_clusters"] >= 0 and 0 <= rows["density", "n_noise"] <= known
     assert report.filter("section = 'best_model'").first()["key"] == "kmeans"
-    master = batch.run_scoring(spark, made["recent_customer_dataset"], AS_OF, f"{tmp_path}/models", f"{tmp_path}/out", run, lags=made["recent_forecast_lags"])
+    master = batch.run_scoring(
+        spark, made["recent_customer_dataset"], AS_OF, f"{tmp_path}/models", f"{tmp_path}/out", run,
+        lags=made["recent_forecast_lags"],
+    )
     total = master.filter(F.col("family").isNull()).first()
     assert total["models_run"] == 8 and total["total_predictions"] == 8 * made["recent_customer_dataset"].count()
     features = tables.read_csv(spark, f"{tmp_path}/models/forecasting/revenue/features", "feature string, position int")

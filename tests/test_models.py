@@ -190,3 +190,15 @@ def test_absent_features_get_the_default_of_their_name(warehouse):
     filled = known.withColumns({c: F.lit({"avg_roas": 1.0, "rfm_score": 50.0}[c]) for c in absent})
     rows = lambda df: sorted(map(str, scoring.score_success(forest, df).collect()))
     assert rows(known.drop(*absent)) == rows(filled)
+
+
+def test_density_row_of_the_training_report(spark):
+    rows = [(f"{c}{i}", float(10 * c + i % 5 * 0.01), float(i % 3 * 0.01)) for c in range(2) for i in range(60)]
+    df = spark.createDataFrame([*rows, ("far", 500.0, 0.0)], "customer_id string, a double, b double")
+    got = segmentation.density_metrics(df, ["a", "b", "a"], eps=0.9, min_cluster_size=20)
+    assert got["n_noise"] == 1 and got["n_clusters"] in (1, 2)
+    apart = spark.createDataFrame(rows, "customer_id string, a double, b double")
+    got = segmentation.density_metrics(apart, ["a"], eps=0.3, min_cluster_size=20)
+    assert got["n_clusters"] == 2 and got["n_noise"] == 0 and got["silhouette_score"] > 0.99
+    none = segmentation.density_metrics(df.limit(0), ["a"], eps=0.3)
+    assert none == {"n_clusters": 0, "n_noise": 0}
