@@ -76,6 +76,8 @@ def train_kmeans(
 def density_metrics(df: DataFrame, features: Sequence[str], **options) -> dict[str, float]:
     """Segments found, rows in none, and, with two segments or more, their mean silhouette on the
     standardised features; noise is no segment."""
+    if df.isEmpty():
+        return {"n_clusters": 0, "n_noise": 0}
     used = list(dict.fromkeys(features))
     placed = density_segments(df, used, **options)
     inside, outside = F.when(F.col("segment") >= 0, F.col("segment")), F.count_if(F.col("segment") < 0)
