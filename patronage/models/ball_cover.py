@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from patronage.session import stored
 
 #: Positions in a leaf at most, and balls that an overfull one is dealt into.
-LEAF, PIVOTS = 256, 16
+LEAF, PIVOTS = 2048, 16
 #: Bounds are this much looser than computed, against rounding.
 SLACK = 1e-9
 

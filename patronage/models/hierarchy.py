@@ -37,6 +37,10 @@ MAX_SEEDS = 1_000_000
 LEAST_DISTANCE = 1e-9
 #: The reach grows by this factor from stage to stage.
 GROWTH = 3.0
+#: Rows of a block whose distances are worked out at a time.
+STRIP = 64
+#: Squared distances by a product of matrices are this much of the largest squares off, at most.
+ROUNDING = 1e-12
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -50,15 +54,64 @@ def _blocks(points: DataFrame, *columns: str) -> DataFrame:
     return packed.select("leaf", *[F.col(f"block.{c}").alias(c) for c in ("id", *columns)])
 
 
-def _with_blocks(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
-    def side(prefix: str) -> DataFrame:
-        return blocks.select(F.col("leaf").alias(prefix), *[F.col(c).alias(f"{prefix}_{c}") for c in blocks.columns[1:]])
-
-    return pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+def _streamed(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
+    """Rows (a, gap, columns of a block) for the pairs (a, b, gap) of different leaves: of every leaf
+    a its own block first (gap -1), then the blocks it is paired with, near ones first. A task
+    holds one block and meets the others as they come."""
+    columns = ["a", "gap", *blocks.columns[1:]]
+    others = pairs.where("a <> b").select("a", "b", "gap").join(blocks.withColumnRenamed("leaf", "b"), "b")
+    own = blocks.withColumnRenamed("leaf", "a").withColumn("gap", F.lit(-1.0))
+    return own.select(columns).unionByName(others.select(columns)).repartition("a").sortWithinPartitions("a", "gap")
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.sqrt(((a[:, None, :] - b[None, :, :]) ** 2).sum(axis=2))
+    """Every row of ``a`` with every row of ``b``; squares are added axis by axis, as in _apart."""
+    found, right = np.empty((len(a), len(b))), np.ascontiguousarray(b.T)
+    for start in range(0, len(a), STRIP):
+        part = a[start : start + STRIP]
+        total = found[start : start + STRIP]
+        total[:] = 0
+        for axis, other in enumerate(right):
+            step = part[:, axis, None] - other
+            step *= step
+            total += step
+    return np.sqrt(found, out=found)
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Row by row; the same digits as _distances."""
+    total = np.zeros(len(a))
+    for axis in range(a.shape[1]):
+        step = a[:, axis] - b[:, axis]
+        total += step * step
+    return np.sqrt(total)
+
+
+def _meet(away: np.ndarray, weights: np.ndarray, x: np.ndarray, y: np.ndarray, n: np.ndarray) -> None:
+    """Puts points ``y`` that stand for ``n`` each among the nearest of the points ``x``: rows of
+    ``away`` rise, and hold infinity (with weight 0) where less is known.
+
+    A product of matrices tells who may be nearer, loosely enough for its rounding; the distances
+    themselves are differences.
+    """
+    most = away.shape[1]
+    one, other = (x * x).sum(axis=1), (y * y).sum(axis=1)
+    squares = one[:, None] + other - 2 * (x @ y.T)
+    bound = away[:, -1] ** 2
+    if len(y) > most and np.isinf(bound).any():
+        bound = np.minimum(bound, np.partition(squares, most - 1, axis=1)[:, most - 1])
+    loose = ROUNDING * (one.max() + other.max())
+    i, j = np.nonzero(squares <= bound[:, None] + loose)
+    if not len(i):
+        return
+    touched, row = np.unique(i, return_inverse=True)
+    rows = np.concatenate([np.repeat(np.arange(len(touched)), most), row])
+    far = np.concatenate([away[touched].ravel(), _apart(x[i], y[j])])
+    order = np.lexsort((far, rows))
+    rows = rows[order]
+    order = order[np.arange(len(rows)) - np.searchsorted(rows, rows) < most]
+    away[touched] = far[order].reshape(-1, most)
+    weights[touched] = np.concatenate([weights[touched].ravel(), n[j]])[order].reshape(-1, most)
 
 
 def _needed(cover: ball_cover.BallCover, count: int) -> DataFrame:
@@ -113,22 +166,28 @@ def core_distances(cover: ball_cover.BallCover, min_samples: int) -> DataFrame:
     id_type = cover.points.schema["id"].dataType.simpleString()
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = x = away = weights = None
+
+        def found() -> pa.RecordBatch:
+            reached = np.cumsum(weights, axis=1) >= wanted
+            core = np.take_along_axis(away, reached.argmax(axis=1)[:, None], 1).ravel()
+            full = np.flatnonzero(reached[:, -1])
+            return pa.RecordBatch.from_arrays([ids.take(pa.array(full)), pa.array(core[full])], ["id", "core"])
+
         for batch in batches:
-            table = {name: batch.column(name) for name in batch.schema.names}
             for row in range(batch.num_rows):
-                ids = table["a_id"][row].values
-                weights = np.array(table["b_n"][row].values)
-                away = _distances(_matrix(table["a_x"][row].values), _matrix(table["b_x"][row].values))
-                kept = np.argsort(away, axis=1, kind="stable")[:, :wanted]
-                who = np.repeat(np.arange(len(ids)), kept.shape[1])
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(who)), pa.array(np.take_along_axis(away, kept, 1).ravel()), pa.array(weights[kept.ravel()])],
-                    ["id", "away", "n"],
-                )
+                gap, points = batch.column("gap")[row].as_py(), _matrix(batch.column("x")[row].values)
+                if gap < 0:
+                    if ids is not None:
+                        yield found()
+                    ids, x = batch.column("id")[row].values, points
+                    away, weights = np.full((len(x), wanted), np.inf), np.zeros((len(x), wanted), "int64")
+                if gap <= away[:, -1].max():
+                    _meet(away, weights, x, points, np.array(batch.column("n")[row].values))
+        if ids is not None:
+            yield found()
 
-    met = _with_blocks(pairs, _blocks(cover.points, "n", "x")).mapInArrow(nearest, f"id {id_type}, away double, n long")
-    reached = F.sum("n").over(Window.partitionBy("id").orderBy("away").rowsBetween(Window.unboundedPreceding, 0))
-    return met.withColumn("reached", reached).where(F.col("reached") >= wanted).groupBy("id").agg(F.min("away").alias("core"))
+    return _streamed(pairs, _blocks(cover.points, "n", "x")).mapInArrow(nearest, f"id {id_type}, core double")
 
 
 def _prim(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -146,30 +205,87 @@ def _prim(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(1, n), hang[1:]
 
 
-def _local_trees(pairs: DataFrame, points: DataFrame) -> DataFrame:
-    """(u, v, w): for a leaf with itself its spanning tree, for two leaves those edges of their
-    common tree that lead from one to the other."""
+def _joined(weights: np.ndarray, trees: tuple[tuple, tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """The edges between two sides in a minimum spanning tree of both: ``weights`` of all pairs, and a
+    minimum spanning tree (one, other, weight) of each side, which holds all its edges that can matter."""
+    sizes = weights.shape
+    beside = [[[] for _ in range(size)] for size in sizes]
+    for near, tree in zip(beside, trees, strict=True):
+        for one, other, weight in zip(*(t.tolist() for t in tree), strict=True):
+            near[one].append((other, weight))
+            near[other].append((one, weight))
+    lines = weights, np.ascontiguousarray(weights.T)
+    best = [np.full(size, np.inf) for size in sizes]
+    hang = [np.full(size, -1) for size in sizes]  # on the other side, or -1
+    left = [np.ones(size, bool) for size in sizes]
+    side, at, found = 0, 0, []
+    for _ in range(sum(sizes)):
+        if left[side][at] and hang[side][at] >= 0:
+            found.append((at, hang[side][at]) if side == 0 else (hang[side][at], at))
+        left[side][at], best[side][at] = False, np.inf
+        line, across = lines[side][at], 1 - side
+        closer = np.flatnonzero(left[across] & (line < best[across]))
+        best[across][closer], hang[across][closer] = line[closer], at
+        for other, weight in beside[side][at]:
+            if left[side][other] and weight < best[side][other]:
+                best[side][other], hang[side][other] = weight, -1
+        ends = [int(b.argmin()) for b in best]
+        side = 0 if best[0][ends[0]] <= best[1][ends[1]] else 1
+        at = ends[side]
+    one, other = np.array(found, "int64").reshape(-1, 2).T
+    return one, other
+
+
+def _with_trees(points: DataFrame) -> DataFrame:
+    """One row per leaf: its points and a minimum spanning tree of them (places of both ends, weight)."""
     id_type = points.schema["id"].dataType.simpleString()
 
     def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            table = {name: batch.column(name) for name in batch.schema.names}
-            for row in range(batch.num_rows):
-                same = table["a"][row] == table["b"][row]
-                sides = ("a",) if same else ("a", "b")
-                ids = pa.concat_arrays([table[f"{s}_id"][row].values for s in sides])
-                x = np.concatenate([_matrix(table[f"{s}_x"][row].values) for s in sides])
-                core = np.concatenate([np.array(table[f"{s}_core"][row].values) for s in sides])
-                weights = np.maximum(_distances(x, x), np.maximum(core[:, None], core[None, :]))
+            ends: list[list[np.ndarray]] = [[], [], []]
+            for x, core in zip(batch.column("x"), batch.column("core"), strict=True):
+                core = np.array(core.values)
+                weights = _distances(_matrix(x.values), _matrix(x.values))
+                weights = np.maximum(weights, np.maximum(core[:, None], core[None, :]), out=weights)
                 one, other = _prim(weights)
-                first = len(table["a_id"][row].values)
-                crossing = np.full(len(one), True) if same else (one < first) != (other < first)
-                one, other = one[crossing], other[crossing]
+                for held, column in zip(ends, (one, other, weights[one, other]), strict=True):
+                    held.append(column)
+            kinds = (pa.int64(), pa.int64(), pa.float64())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *[pa.array(c, pa.list_(k)) for c, k in zip(ends, kinds, strict=True)]],
+                [*batch.schema.names, "one", "other", "w"],
+            )
+
+    schema = f"leaf string, id array<{id_type}>, x array<array<double>>, core array<double>, one array<long>, other array<long>, w array<double>"
+    return _blocks(points, "x", "core").repartition("leaf").mapInArrow(trees, schema)
+
+
+def _crossing(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
+    """(u, v, w) for pairs of leaves: the edges of their common spanning tree that lead from one to the
+    other."""
+    id_type = blocks.schema["id"].dataType.elementType.simpleString()
+
+    def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            for row in range(batch.num_rows):
+                ids, core = batch.column("id")[row].values, np.array(batch.column("core")[row].values)
+                x = _matrix(batch.column("x")[row].values)
+                tree = tuple(np.array(batch.column(c)[row].values) for c in ("one", "other", "w"))
+                if batch.column("gap")[row].as_py() < 0:
+                    held = ids, x, core, tree
+                    continue
+                weights = _distances(held[1], x)
+                np.maximum(weights, np.maximum(held[2][:, None], core[None, :]), out=weights)
+                one, other = _joined(weights, (held[3], tree))
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(one)), ids.take(pa.array(other)), pa.array(weights[one, other])], ["u", "v", "w"]
+                    [held[0].take(pa.array(one)), ids.take(pa.array(other)), pa.array(weights[one, other])], ["u", "v", "w"]
                 )
 
-    return _with_blocks(pairs, _blocks(points, "x", "core")).mapInArrow(trees, f"u {id_type}, v {id_type}, w double")
+    # either leaf may come first, so that no leaf has all its pairs to itself
+    flip = F.xxhash64("a", "b") % 2 == 0
+    pairs = pairs.select(F.when(flip, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(flip, F.col("b")).otherwise(F.col("a")).alias("b"), "gap")
+    return _streamed(pairs, blocks).mapInArrow(trees, f"u {id_type}, v {id_type}, w double")
 
 
 def reachability_tree(cover: ball_cover.BallCover, core: DataFrame) -> DataFrame:
@@ -180,11 +296,13 @@ def reachability_tree(cover: ball_cover.BallCover, core: DataFrame) -> DataFrame
     widest = cover.nodes.where("parent is null").first()["radius"]
     most = points.agg(F.max("core")).first()[0] or 0.0
     reach, before = max(2 * (radii[0] or 0.0), widest / 64), -1.0
-    edges, names = None, None
+    blocks, names = stored(_with_trees(points)), None
+    inner = blocks.select("id", F.inline(F.arrays_zip("one", "other", "w")))
+    edges = stored(inner.select(F.col("id")[F.col("one")].alias("u"), F.col("id")[F.col("other")].alias("v"), "w"))
     while True:
         last = reach >= max(2 * widest, most)
         limit = float("inf") if last else reach
-        pairs = ball_cover.close_leaves(cover, lambda gap, a, b, limit=limit: gap <= limit)
+        pairs = ball_cover.close_leaves(cover, lambda gap, a, b, limit=limit: gap <= limit).where("a <> b")
         for side in ("a", "b"):
             pairs = pairs.join(least.select(F.col("leaf").alias(side), F.col("least").alias(f"{side}_least")), side)
         weight = F.greatest("gap", "a_least", "b_least")
@@ -194,8 +312,7 @@ def reachability_tree(cover: ball_cover.BallCover, core: DataFrame) -> DataFrame
             for side in ("a", "b"):
                 pairs = pairs.join(ends.select(F.col("leaf").alias(side), F.col("low").alias(f"{side}_low"), F.col("high").alias(f"{side}_high")), side)
             pairs = pairs.where(~((F.col("a_low") == F.col("a_high")) & (F.col("a_low") == F.col("b_low")) & (F.col("b_low") == F.col("b_high"))))
-        found = _local_trees(pairs, points)
-        edges = stored(found if edges is None else edges.unionByName(found))
+        edges = stored(edges.unionByName(_crossing(pairs, blocks)))
         if last:
             break
         names = stored(connected_components(points.select(F.col("id").alias("node")), edges.where(F.col("w") <= reach).select("u", "v")))

@@ -172,6 +172,31 @@ def test_core_distances_and_tree_weight(spark):
     assert np.allclose(sorted(r["w"] for r in tree), sorted(e[2] for e in edges), atol=1e-12)
 
 
+def test_blocks_meet_exactly(spark):
+    """Nearest points and the edges between two blocks, by brute force; and core distances make one row
+    for a point, however many blocks it meets."""
+    r = np.random.default_rng(5)
+    for n, m, dims, round_to in ((40, 60, 33, 9), (50, 20, 3, 0), (1, 7, 2, 1)):
+        a, b = np.round(r.normal(size=(n, dims)), round_to), np.round(r.normal(size=(m, dims)), round_to)
+        away, weights = np.full((n, 8), np.inf), np.zeros((n, 8), "int64")
+        for other in (a, b):
+            hierarchy._meet(away, weights, a, other, np.ones(len(other), "int64"))
+        both = np.concatenate([a, b])
+        every = hierarchy._distances(both, both)
+        assert np.array_equal(away, np.sort(every[:n], axis=1)[:, :8])
+        inner = [hierarchy._prim(w) for w in (every[:n, :n], every[n:, n:])]
+        trees = [(i, j, w[i, j]) for (i, j), w in zip(inner, (every[:n, :n], every[n:, n:]), strict=True)]
+        one, other = hierarchy._joined(every[:n, n:], trees)
+        edges = [*zip(*inner[0]), *((i + n, j + n) for i, j in zip(*inner[1])), *zip(one, other + n)]
+        rows = [(int(i), int(j), float(every[i, j])) for i, j in edges]
+        forest = spanning_forest(spark.createDataFrame(rows, "u long, v long, w double")).collect()
+        assert np.allclose(sorted(e["w"] for e in forest), sorted(every[hierarchy._prim(every)]), rtol=0, atol=0)
+    cover = ball_cover.build(positions(spark, clouds("many axes")), 30, 5)
+    core = hierarchy.core_distances(cover, 7)
+    plan = core._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("MapInArrow") and core.count() == len(clouds("many axes"))
+
+
 def test_leaves_hold_every_point_within_their_radius(spark):
     x = clouds("nested")
     cover = ball_cover.build(positions(spark, x), 20, 3)
