@@ -188,6 +188,20 @@ def _verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFra
     return both.mapInArrow(compare, "u binary, v binary")
 
 
+def _marked(rows: DataFrame, asked: DataFrame, bits: int) -> DataFrame:
+    """``rows`` without most of those whose (doc_id, text_key) is not ``asked`` for, so that their texts
+    do not move. A bitmap of hashes, as large as the sketch at most, goes to every executor; it keeps
+    all that are asked for, and some by chance."""
+    place = F.pmod(F.xxhash64(F.lit(31), "doc_id", "text_key"), F.lit(8 << bits)) + 1
+    held = asked.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("held")
+    )
+    placed = rows.withColumns({"bucket": F.bitmap_bucket_number(place), "at": F.bitmap_bit_position(place).cast("int")})
+    byte = F.conv(F.hex(F.expr("substring(held, at div 8 + 1, 1)")), 16, 10).cast("int")
+    kept = placed.join(F.broadcast(held), "bucket").where(byte.bitwiseAND(F.expr("shiftleft(1, at % 8)")) != 0)
+    return kept.select(rows.columns)
+
+
 LEVEL, RANK = "(mark % 4)", "(mark div 4)"
 
 
@@ -324,8 +338,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
 
     # texts move once, for both rounds: those of all classes that share a token
     # (a merge at every size: their share of all texts does not fall as the corpus grows)
-    asked = met.select("class").distinct().join(classes, "class").hint("merge")
-    texts = rows.join(asked, ["doc_id", "text_key"]).select("class", "digest", "text")
+    asked = keep(met.select("class").distinct().join(classes, "class"), "ngram-asked")
+    texts = _marked(rows, asked, bits).join(asked.hint("merge"), ["doc_id", "text_key"]).select("class", "digest", "text")
     texts = keep(texts.dropDuplicates(["class", "digest"]), "ngram-texts")
 
     def texts_of(pairs: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from patronage.llm import ngram_join
+from patronage.llm.common import keyed
 
 
 def sets_of(rows, n):
@@ -73,3 +74,15 @@ def test_common_tokens_of_many_columns(monkeypatch):
 def test_links_of_no_rows(table):
     membership, links = ngram_join.near_duplicate_links(table([]), bits=10)
     assert membership.count() == links.count() == 0
+
+
+def test_texts_that_nobody_asks_for_do_not_move(spark, table):
+    """All rows that are asked for stay, by id and text; of the others only what a bitmap lets through."""
+    rows = keyed(table([(i % 900, f"text {i}") for i in range(1000)] + [(None, "text 5"), (7, None)]))
+    asked = rows.where("doc_id % 20 = 3")
+    kept = ngram_join._marked(rows, asked, 14)
+    assert kept.columns == rows.columns
+    wanted = {tuple(r) for r in asked.collect()}
+    found = [tuple(r) for r in kept.collect()]
+    assert wanted <= set(found) and len(found) == len(set(found)) < len(wanted) + 20
+    assert ngram_join._marked(rows, asked.limit(0), 14).count() == 0
