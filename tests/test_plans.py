@@ -82,3 +82,22 @@ def test_hot_parent_key_is_split_at_run_time(spark):
                 spark.conf.unset(key)
             else:
                 spark.conf.set(key, value)
+
+
+def test_unified_rows_do_not_move_again_for_their_order_history(spark, warehouse):
+    """The key of the unified table is that of its parts, so its rows lie where the history's lie."""
+    from patronage.operators import features
+    from patronage.plans import unify
+    from patronage.registry.warehouse import AS_OF
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        history = features.order_history_features(warehouse.sold, AS_OF)
+        whole = unify.attach_order_history(warehouse.unified, history)
+        moved = whole._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+        parts = [df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") for df in (warehouse.unified, history)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert moved == sum(parts)
+    assert warehouse.unified.where("customer_id is null").isEmpty()
