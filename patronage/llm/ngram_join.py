@@ -339,8 +339,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     # texts move once, for both rounds: those of all classes that share a token
     # (a merge at every size: their share of all texts does not fall as the corpus grows)
     asked = keep(met.select("class").distinct().join(classes, "class"), "ngram-asked")
-    texts = _marked(rows, asked, bits).join(asked.hint("merge"), ["doc_id", "text_key"]).select("class", "digest", "text")
-    texts = keep(texts.dropDuplicates(["class", "digest"]), "ngram-texts")
+    # identical rows lie together by what they were joined by, so they are dropped there
+    texts = _marked(rows, asked, bits).join(asked.hint("merge"), ["doc_id", "text_key"])
+    texts = texts.dropDuplicates(["doc_id", "text_key", "class", "digest"]).select("class", "digest", "text")
+    texts = keep(texts, "ngram-texts")
 
     def texts_of(pairs: DataFrame) -> DataFrame:
         """class, digest and text of what is to be compared."""
