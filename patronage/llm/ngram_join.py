@@ -258,12 +258,12 @@ def _first_pairs(listed: DataFrame, percent: int) -> DataFrame:
     return met.groupBy("class").agg(F.max(order).alias("best")).select(F.col("best.pivot").alias("a"), F.col("class").alias("b"))
 
 
-def _second_pairs(listed: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+def _second_pairs(listed: DataFrame, groups: DataFrame, percent: int) -> tuple[DataFrame, str]:
     """All pairs (a, b) of classes of different groups that share as many prefix tokens as their
-    levels say. Groups meet before their classes do."""
+    levels say. Groups meet before their classes do. Also the folder that they are read from."""
     grouped = listed.drop("met", "spare").join(groups, "class", "left").withColumn("group", F.coalesce("group", "class"))
     grouped, folder = store(grouped, "ngram-grouped")
-    rows, _ = store(_met(_shared(grouped, "group"), percent).withColumn("level", F.expr(LEVEL)), "ngram-mixed")
+    rows, mixed = store(_met(_shared(grouped, "group"), percent).withColumn("level", F.expr(LEVEL)), "ngram-mixed")
     remove_folders(rows.sparkSession, [folder])
     larger = rows.select(*(F.col(c).alias(f"b_{c}") for c in ("class", "size", "place", "level", "group", "met", "spare")), "token")
     smaller = rows.where(_first_places(percent)).select(
@@ -291,7 +291,7 @@ def _second_pairs(listed: DataFrame, groups: DataFrame, percent: int) -> DataFra
     fits = (100 * F.col("a_size") >= percent * size) & _can_link(
         percent, F.col("a_size") + size, F.least(left, right, _common("a_", "b_"))
     )
-    return (
+    pairs = (
         wanted.drop("least", "largest", "room", "held_met", "held_spare")
         .join(smaller, ["token", "a_group"])
         .where(ordered & fits)
@@ -300,6 +300,7 @@ def _second_pairs(listed: DataFrame, groups: DataFrame, percent: int) -> DataFra
         .where("tokens >= least")
         .select("a", "b")
     )
+    return pairs, mixed
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bits: int = SKETCH_BITS) -> DataFrame:
@@ -328,12 +329,13 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     sets = parts.where("chunk is null").select("doc_id", "text_key", "size", "digest")
     listed = _prefixes(rows.where("doc_id is not null"), words, percent, bits, _sketch(parts, bits))
     # tasks list a class each; what they agree on lies together already
-    shared = keep(_shared(listed, "class").dropDuplicates(["token", "class"]), "ngram-shared")
+    shared, folder = store(_shared(listed, "class").dropDuplicates(["token", "class"]), "ngram-shared")
     met = keep(_met(shared, percent), "ngram-met")
+    remove_folders(spark, [folder])
     spoken = sets.where("doc_id is not null and size > 0")
     firsts = spoken.groupBy("digest").agg(F.min(F.struct("doc_id", "text_key")).alias("one")).select("digest", "one.*")
     number = F.conv(F.substring(F.hex("digest"), 1, 16), 16, -10).cast("long")
-    classes, _ = store(firsts.withColumn("class", number), "ngram-classes")
+    classes = keep(firsts.withColumn("class", number), "ngram-classes")
     first = keep(_first_pairs(met, percent), "ngram-first-pairs")
 
     # texts move once, for both rounds: those of all classes that share a token
@@ -354,7 +356,9 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     # a group's name is a digest, a lone class's its own number: told apart by a hash
     named = rooted.select("node", "root").union(rooted.select(F.col("root").alias("node"), "root")).distinct()
     groups = named.join(classes, named["node"] == classes["digest"]).select("class", F.xxhash64(F.lit(9), "root").alias("group"))
-    second = keep(_second_pairs(met, groups, percent), "ngram-second-pairs")
+    pairs, folder = _second_pairs(met, groups, percent)
+    second = keep(pairs, "ngram-second-pairs")
+    remove_folders(spark, [folder])
     more = keep(_verify(second, texts_of(second), words, percent), "ngram-more-links")
     roots = connected_components(nodes, links.union(more))
     placed = classes.join(roots, classes["digest"] == roots["node"]).select("digest", "doc_id", "text_key", "root")
