@@ -80,3 +80,10 @@ def test_plan_moves_one_key_in_buckets(spark):
     facts = spark.createDataFrame([("a", DAY0, 1)], "key string, day date, v long")
     plan = asof.as_of_state(facts, facts.select("key", "day"), "key", "day", ["v"])._jdf.queryExecution().optimizedPlan().toString()
     assert "_bucket" in plan and "Join Inner" not in plan and "CartesianProduct" not in plan
+
+
+def test_lag_tables_share_one_sum_of_campaign_rows(warehouse, spark):
+    part = spark.createDataFrame([("CUST_000001", "At Risk", 5)], "customer_id string, target_audience string, recency_days int")
+    read = {file.rsplit("/", 1)[-1] for last in (True, False) for file in warehouse.forecast_lags(part, last).inputFiles()}
+    assert "orders.parquet" in read
+    assert "lineitem.parquet" not in read
