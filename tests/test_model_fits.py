@@ -42,3 +42,22 @@ def test_restarts_share_the_features_alone_and_the_lowest_cost_wins(rows, monkey
     assert [c for c, _, _ in seen] == [["features"]] * 6 and {s for _, s, _ in seen} == set(range(42, 48))
     assert got.metrics["training_cost"] == min(cost for _, _, cost in seen)
     assert got.baseline["n_train"] == 300
+
+
+def test_a_forest_reads_rows_at_hand_in_a_part_for_every_core(spark, rows, monkeypatch):
+    seen, plain = [], Pipeline.fit
+
+    def fit(self, df):
+        seen.append((df.rdd.getNumPartitions(), df.is_cached, df.count()))
+        return plain(self, df)
+
+    monkeypatch.setattr(Pipeline, "fit", fit)
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    few = rows.withColumn("c", F.when(F.col("a") > 0, "p").otherwise("q")).coalesce(1)
+    got = forests.train_forest(few, ["a", "b"], "c", forests.CLASSIFICATION, trees=5, depth=4, stratify=True)
+    assert seen == [(spark.sparkContext.defaultParallelism, True, got.baseline["n_train"])]
+    assert got.baseline["n_train"] + got.baseline["n_test"] == 300 and got.metrics["accuracy"] > 0.9
+    forests.cross_validate(few, ["a", "b"], "y", forests.REGRESSION, folds=4, trees=2, depth=2)
+    assert [parts for parts, _, _ in seen[1:]] == [spark.sparkContext.defaultParallelism] * 4
+    assert forests.train_forest(few, ["a", "b"], "y", forests.REGRESSION, min_rows=301) is None
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
