@@ -61,3 +61,19 @@ def test_a_forest_reads_rows_at_hand_in_a_part_for_every_core(spark, rows, monke
     assert [parts for parts, _, _ in seen[1:]] == [spark.sparkContext.defaultParallelism] * 4
     assert forests.train_forest(few, ["a", "b"], "y", forests.REGRESSION, min_rows=301) is None
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_restarts_meet_blocks_of_rows_and_large_ones_one_at_a_time(rows, monkeypatch):
+    seen, running, plain = [], [], KMeans.fit
+
+    def fit(self, df):
+        running.append(self)
+        seen.append((self.getSolver(), len(running)))
+        model = plain(self, df)
+        running.remove(self)
+        return model
+
+    monkeypatch.setattr(KMeans, "fit", fit)
+    monkeypatch.setattr(segmentation, "COPIES_AT_ONCE", 300 * 2 * 8)
+    segmentation.train_kmeans(rows, ["a", "b"], n_clusters=3, restarts=4)
+    assert seen == [("block", 1)] * 4
