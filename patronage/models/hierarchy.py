@@ -39,6 +39,8 @@ LEAST_DISTANCE = 1e-9
 GROWTH = 3.0
 #: Rows of a block whose distances are worked out at a time.
 STRIP = 64
+#: Blocks that a task holds at a time, at most: each of the others moves once for all of them.
+HELD = 32
 #: Squared distances by a product of matrices are this much of the largest squares off, at most.
 ROUNDING = 1e-12
 
@@ -54,14 +56,46 @@ def _blocks(points: DataFrame, *columns: str) -> DataFrame:
     return packed.select("leaf", *[F.col(f"block.{c}").alias(c) for c in ("id", *columns)])
 
 
-def _streamed(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
-    """Rows (a, gap, columns of a block) for the pairs (a, b, gap) of different leaves: of every leaf
-    a its own block first (gap -1), then the blocks it is paired with, near ones first. A task
-    holds one block and meets the others as they come."""
-    columns = ["a", "gap", *blocks.columns[1:]]
-    others = pairs.where("a <> b").select("a", "b", "gap").join(blocks.withColumnRenamed("leaf", "b"), "b")
-    own = blocks.withColumnRenamed("leaf", "a").withColumn("gap", F.lit(-1.0))
-    return own.select(columns).unionByName(others.select(columns)).repartition("a").sortWithinPartitions("a", "gap")
+def _groups(cover: ball_cover.BallCover) -> DataFrame:
+    """(leaf, held): leaves that a task holds together, up to HELD that lie near each other; fewer where
+    there would not be four groups for every core."""
+    leaves = cover.nodes.where("is_leaf").select("parent", F.col("node").alias("leaf"))
+    size = max(1, min(HELD, leaves.count() // (4 * leaves.sparkSession.sparkContext.defaultParallelism)))
+    numbered = global_row_number(leaves, [F.asc_nulls_first("parent"), F.asc("leaf")], "place")
+    return stored(numbered.select("leaf", F.floor((F.col("place") - 1) / size).alias("held")))
+
+
+def _streamed(pairs: DataFrame, blocks: DataFrame, groups: DataFrame, either: bool = False) -> DataFrame:
+    """Rows (held, near, meets, leaf, other columns of a block) for the pairs (a, b, gap) of different
+    leaves: of every group its own blocks first (near -1), then each block that some of them are paired
+    with, once, near ones first. ``meets`` lists these (gap, a). With ``either`` any side of a pair may
+    be held: one for all pairs of two groups, so that no group has all its pairs to itself."""
+    met = pairs.where("a <> b").select("a", "b", "gap")
+    for side in ("a", "b"):
+        met = met.join(groups.select(F.col("leaf").alias(side), F.col("held").alias(f"{side}_held")), side)
+    turned = F.lit(False)
+    if either:
+        one, other = F.col("a_held"), F.col("b_held")
+        turned = (one <= other) != (F.xxhash64(F.least(one, other), F.greatest(one, other)) % 2 == 0)
+    met = met.select(
+        F.when(turned, F.col("b_held")).otherwise(F.col("a_held")).alias("held"),
+        F.struct("gap", F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a")).alias("meet"),
+        F.when(turned, F.col("a")).otherwise(F.col("b")).alias("leaf"),
+    )
+    met = met.groupBy("held", "leaf").agg(F.min("meet.gap").alias("near"), F.collect_list("meet").alias("meets"))
+    columns = ["held", "near", "meets", *blocks.columns]
+    nothing = F.array().cast("array<struct<gap:double,a:string>>")
+    own = blocks.join(groups, "leaf").withColumns({"near": F.lit(-1.0), "meets": nothing})
+    both = own.select(columns).unionByName(met.join(blocks, "leaf").select(columns))
+    return both.repartition("held").sortWithinPartitions("held", "near", "leaf")
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[dict] | None, dict]]:
+    """(held, meets, columns) of the rows of a stream; of a group's own blocks no meets."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            values = {name: column[row] for name, column in zip(batch.schema.names, batch.columns, strict=True)}
+            yield values["held"].as_py(), None if values["near"].as_py() < 0 else values["meets"].as_py(), values
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -166,28 +200,32 @@ def core_distances(cover: ball_cover.BallCover, min_samples: int) -> DataFrame:
     id_type = cover.points.schema["id"].dataType.simpleString()
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = x = away = weights = None
-
-        def found() -> pa.RecordBatch:
-            reached = np.cumsum(weights, axis=1) >= wanted
-            core = np.take_along_axis(away, reached.argmax(axis=1)[:, None], 1).ravel()
-            full = np.flatnonzero(reached[:, -1])
-            return pa.RecordBatch.from_arrays([ids.take(pa.array(full)), pa.array(core[full])], ["id", "core"])
-
-        for batch in batches:
-            for row in range(batch.num_rows):
-                gap, points = batch.column("gap")[row].as_py(), _matrix(batch.column("x")[row].values)
-                if gap < 0:
-                    if ids is not None:
-                        yield found()
-                    ids, x = batch.column("id")[row].values, points
-                    away, weights = np.full((len(x), wanted), np.inf), np.zeros((len(x), wanted), "int64")
-                if gap <= away[:, -1].max():
-                    _meet(away, weights, x, points, np.array(batch.column("n")[row].values))
-        if ids is not None:
-            yield found()
-
-    return _streamed(pairs, _blocks(cover.points, "n", "x")).mapInArrow(nearest, f"id {id_type}, core double")
+        group, own = None, {}
+
+        def found() -> Iterator[pa.RecordBatch]:
+            for ids, _, away, weights in own.values():
+                reached = np.cumsum(weights, axis=1) >= wanted
+                core = np.take_along_axis(away, reached.argmax(axis=1)[:, None], 1).ravel()
+                full = np.flatnonzero(reached[:, -1])
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(full)), pa.array(core[full])], ["id", "core"])
+
+        for held, meets, block in _rows(batches):
+            if held != group:
+                yield from found()
+                group, own = held, {}
+            points, n = _matrix(block["x"].values), np.array(block["n"].values)
+            if meets is None:
+                away, weights = np.full((len(points), wanted), np.inf), np.zeros((len(points), wanted), "int64")
+                _meet(away, weights, points, points, n)
+                own[block["leaf"].as_py()] = block["id"].values, points, away, weights
+                continue
+            for pair in meets:
+                _, x, away, weights = own[pair["a"]]
+                if pair["gap"] <= away[:, -1].max():
+                    _meet(away, weights, x, points, n)
+        yield from found()
+
+    return _streamed(pairs, _blocks(cover.points, "n", "x"), _groups(cover)).mapInArrow(nearest, f"id {id_type}, core double")
 
 
 def _prim(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -260,32 +298,31 @@ def _with_trees(points: DataFrame) -> DataFrame:
     return _blocks(points, "x", "core").repartition("leaf").mapInArrow(trees, schema)
 
 
-def _crossing(pairs: DataFrame, blocks: DataFrame) -> DataFrame:
+def _crossing(pairs: DataFrame, blocks: DataFrame, groups: DataFrame) -> DataFrame:
     """(u, v, w) for pairs of leaves: the edges of their common spanning tree that lead from one to the
     other."""
     id_type = blocks.schema["id"].dataType.elementType.simpleString()
 
     def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            for row in range(batch.num_rows):
-                ids, core = batch.column("id")[row].values, np.array(batch.column("core")[row].values)
-                x = _matrix(batch.column("x")[row].values)
-                tree = tuple(np.array(batch.column(c)[row].values) for c in ("one", "other", "w"))
-                if batch.column("gap")[row].as_py() < 0:
-                    held = ids, x, core, tree
-                    continue
-                weights = _distances(held[1], x)
-                np.maximum(weights, np.maximum(held[2][:, None], core[None, :]), out=weights)
-                one, other = _joined(weights, (held[3], tree))
+        group, own = None, {}
+        for held, meets, block in _rows(batches):
+            if held != group:
+                group, own = held, {}
+            x, core, ids = _matrix(block["x"].values), np.array(block["core"].values), block["id"].values
+            tree = tuple(np.array(block[c].values) for c in ("one", "other", "w"))
+            if meets is None:
+                own[block["leaf"].as_py()] = ids, x, core, tree
+                continue
+            for pair in meets:
+                near_ids, near_x, near_core, near_tree = own[pair["a"]]
+                weights = _distances(near_x, x)
+                np.maximum(weights, np.maximum(near_core[:, None], core[None, :]), out=weights)
+                one, other = _joined(weights, (near_tree, tree))
                 yield pa.RecordBatch.from_arrays(
-                    [held[0].take(pa.array(one)), ids.take(pa.array(other)), pa.array(weights[one, other])], ["u", "v", "w"]
+                    [near_ids.take(pa.array(one)), ids.take(pa.array(other)), pa.array(weights[one, other])], ["u", "v", "w"]
                 )
 
-    # either leaf may come first, so that no leaf has all its pairs to itself
-    flip = F.xxhash64("a", "b") % 2 == 0
-    pairs = pairs.select(F.when(flip, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(flip, F.col("b")).otherwise(F.col("a")).alias("b"), "gap")
-    return _streamed(pairs, blocks).mapInArrow(trees, f"u {id_type}, v {id_type}, w double")
+    return _streamed(pairs, blocks, groups, either=True).mapInArrow(trees, f"u {id_type}, v {id_type}, w double")
 
 
 def reachability_tree(cover: ball_cover.BallCover, core: DataFrame) -> DataFrame:
@@ -296,7 +333,7 @@ def reachability_tree(cover: ball_cover.BallCover, core: DataFrame) -> DataFrame
     widest = cover.nodes.where("parent is null").first()["radius"]
     most = points.agg(F.max("core")).first()[0] or 0.0
     reach, before = max(2 * (radii[0] or 0.0), widest / 64), -1.0
-    blocks, names = stored(_with_trees(points)), None
+    blocks, groups, names = stored(_with_trees(points)), _groups(cover), None
     inner = blocks.select("id", F.inline(F.arrays_zip("one", "other", "w")))
     edges = stored(inner.select(F.col("id")[F.col("one")].alias("u"), F.col("id")[F.col("other")].alias("v"), "w"))
     while True:
@@ -312,7 +349,7 @@ def reachability_tree(cover: ball_cover.BallCover, core: DataFrame) -> DataFrame
             for side in ("a", "b"):
                 pairs = pairs.join(ends.select(F.col("leaf").alias(side), F.col("low").alias(f"{side}_low"), F.col("high").alias(f"{side}_high")), side)
             pairs = pairs.where(~((F.col("a_low") == F.col("a_high")) & (F.col("a_low") == F.col("b_low")) & (F.col("b_low") == F.col("b_high"))))
-        edges = stored(edges.unionByName(_crossing(pairs, blocks)))
+        edges = stored(edges.unionByName(_crossing(pairs, blocks, groups)))
         if last:
             break
         names = stored(connected_components(points.select(F.col("id").alias("node")), edges.where(F.col("w") <= reach).select("u", "v")))

@@ -197,6 +197,22 @@ def test_blocks_meet_exactly(spark):
     assert plan.startswith("MapInArrow") and core.count() == len(clouds("many axes"))
 
 
+def test_a_block_moves_once_for_a_group_of_blocks(spark):
+    x = clouds("many axes")
+    cover = ball_cover.build(positions(spark, x), 4, 8)
+    groups = hierarchy._groups(cover)
+    leaves, held = groups.count(), groups.select("held").distinct().count()
+    assert held < leaves
+    pairs = ball_cover.close_leaves(cover, lambda gap, a, b: gap >= 0).where("a <> b")
+    streamed = hierarchy._streamed(pairs, hierarchy._blocks(cover.points, "n", "x"), groups, either=True)
+    sizes = streamed.selectExpr("near < 0 as own", "size(meets) as met").groupBy("own").agg({"met": "sum", "*": "count"}).collect()
+    found = {r["own"]: (r["count(1)"], r["sum(met)"]) for r in sizes}
+    assert found[True] == (leaves, 0) and found[False][1] == leaves * (leaves - 1) // 2
+    assert found[False][0] <= held * leaves < found[False][1] * 2
+    got = {r["id"]: r["core"] for r in hierarchy.core_distances(cover, 7).collect()}
+    assert np.allclose([got[f"p{i:04d}"] for i in range(len(x))], plain_tree(x, 7)[0], atol=1e-12)
+
+
 def test_leaves_hold_every_point_within_their_radius(spark):
     x = clouds("nested")
     cover = ball_cover.build(positions(spark, x), 20, 3)
